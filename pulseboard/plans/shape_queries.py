@@ -39,7 +39,7 @@ def prj3(spark, folder):
 
 
 @query("prj4_derived_table", f"""
-    SELECT day, max(clicks) AS most_clicks, count(*) AS users
+    SELECT day, CAST(max(clicks) AS BIGINT) AS most_clicks, count(*) AS users
     FROM (SELECT uid, strftime(time, '%Y-%m-%d') AS day, sum(click_count) AS clicks FROM {BEHAVIOUR} GROUP BY uid, day)
     GROUP BY day""")
 def prj4(spark, folder):
@@ -94,7 +94,7 @@ def prj8(spark, folder):
 @query("flt1_rank_filter", f"""
     SELECT room_id, uid, cnt, rownum FROM (
         SELECT room_id, uid, cnt, row_number() OVER (PARTITION BY room_id ORDER BY cnt DESC, uid) AS rownum
-        FROM (SELECT room_id, uid, sum(action) AS cnt FROM {ROOMS} GROUP BY room_id, uid))
+        FROM (SELECT room_id, uid, CAST(sum(action) AS BIGINT) AS cnt FROM {ROOMS} GROUP BY room_id, uid))
     WHERE rownum <= 3""")
 def flt1(spark, folder):
     counts = rooms(spark, folder).groupBy("room_id", "uid").agg(F.sum("action").alias("cnt"))
@@ -148,7 +148,7 @@ def ddl2(spark, folder):
 
 
 @query("ddl3_temporary_view", f"""
-    SELECT phone_type, sum(click_count) AS clicks FROM {BEHAVIOUR} GROUP BY phone_type""")
+    SELECT phone_type, CAST(sum(click_count) AS BIGINT) AS clicks FROM {BEHAVIOUR} GROUP BY phone_type""")
 def ddl3(spark, folder):
     behaviour(spark, folder).createOrReplaceTempView("pulseboard_behaviour")
     return spark.sql("SELECT phone_type, sum(click_count) AS clicks FROM pulseboard_behaviour GROUP BY phone_type")
