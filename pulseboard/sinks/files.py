@@ -121,6 +121,10 @@ class CommittingPartitions:
         finally:
             kept.unpersist()
 
+    def committed(self) -> DataFrame:
+        """The complete partitions, as a catalogue of the table would list them."""
+        return self.spark.read.parquet(f"{self.path}/committed").select(*self.parts).distinct()
+
     def _track(self, batch: DataFrame, batch_id: int) -> None:
         seconds = int(self.grain.total_seconds())
         start = F.timestamp_seconds(F.floor(F.unix_timestamp(self.ts) / seconds) * seconds)
@@ -139,6 +143,7 @@ class CommittingPartitions:
         if newest is not None:
             behind = (self.delay + self.wait + self.grain) // timedelta(microseconds=1)
             due = F.unix_micros("part_start") <= F.lit(newest - behind)
+        state.where(due).select(*self.parts).write.mode("overwrite").parquet(f"{self.path}/committed/n={batch_id}")
         # One row per folder that became complete in this step.
         for row in state.where(due).select(*self.parts).toLocalIterator():
             self._mark(row)
@@ -164,13 +169,3 @@ class CommittingPartitions:
         fs, target = self._fs(f"{self.path}/data/{folder}/_SUCCESS")
         if not fs.exists(target):
             fs.create(target, True).close()
-
-
-def committed_partitions(df: DataFrame, parts: Sequence[str], ts: str, grain: str, wait: str, delay: str) -> DataFrame:
-    """Batch form of the commit rule: partitions complete at the end of ``df``."""
-    newest = df.agg(F.max(ts).alias("_newest")).scalar()
-    per_part = df.groupBy(*parts).agg(F.min(ts).alias("_start"), F.count(F.lit(1)).alias("rows"))
-    start = F.window("_start", grain)["end"]
-    due = per_part.withColumn("_newest", newest).withColumn("_end", start)
-    border = F.col("_newest") - F.expr(f"interval {delay}") - F.expr(f"interval {wait}")
-    return due.where(F.col("_end") <= border).select(*parts, "rows")
