@@ -257,7 +257,11 @@ CREDITS = """(SELECT CASE WHEN l_partkey % 11 <> 0 THEN l_orderkey END AS uid,
 
 
 def credits(spark, folder):
-    lines = credit_lines(spark, folder).select(
+    return credit_records(credit_lines(spark, folder))
+
+
+def credit_records(lines):
+    lines = lines.select(
         records.json_path("value", "$.message").alias("m"), records.json_path("value", "$.log.offset").alias("o")
     )
     return lines.select(

@@ -24,7 +24,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    rows = monitored_table(spark, folder, EVENT_SCHEMA, only="events.parquet")
+    # A pattern fits one file as well as a folder of files.
+    rows = monitored_table(spark, f"{folder}/events.parquet*", EVENT_SCHEMA)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -14,7 +14,9 @@ from pulseboard.operators.pattern import alert_rows
 from pulseboard.operators.shape import wide_row
 from pulseboard.operators.topk import ranked_pages
 from pulseboard.plans.dashboard_queries import ALERTS, RUNNING_USERS_ROWS, running_user_rows, sequences
-from pulseboard.plans.functions_queries import CREDITS, DECODED, PROFILE_KEY_SQL, RECORD_SCHEMA, as_lines, credits
+from pulseboard.plans.functions_queries import (
+    CREDITS, DECODED, PROFILE_KEY_SQL, RECORD_SCHEMA, as_lines, credit_records, credits,
+)
 from pulseboard.plans.inputs import BEHAVIOUR, CHANGES, PROFILES, behaviour, changes, events, profiles
 from pulseboard.plans.registry import query
 from pulseboard.session import new_path
@@ -426,9 +428,12 @@ def snk12(spark, folder):
     return stored.select("dt", F.col("value").alias("line"))
 
 
-@query("snk13_partition_commit", """
+COMMITTED = """
     SELECT strftime(ts, '%Y-%m-%d') AS ts_date, count(*) AS rows FROM events GROUP BY ts_date
-    HAVING max(date_trunc('day', ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 SECOND - INTERVAL 1 SECOND""")
+    HAVING max(date_trunc('day', ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 SECOND - INTERVAL 1 SECOND"""
+
+
+@query("snk13_partition_commit", COMMITTED)
 def snk13(spark, folder):
     path = new_path(spark, "snk13")
     rows = events(spark, folder).select(

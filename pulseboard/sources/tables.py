@@ -25,7 +25,6 @@ def monitored_table(
     schema: T.StructType,
     start: Column | None = None,
     files_per_batch: int | None = None,
-    only: str | None = None,
 ) -> DataFrame:
     """Table whose new files arrive as a stream.
 
@@ -35,8 +34,6 @@ def monitored_table(
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if only:
-        reader = reader.option("pathGlobFilter", only)
     rows = reader.parquet(path)
     return rows.where(start) if start is not None else rows
 
