@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+VOID = "_void"
 POLICIES = ("skip", "sentinel", "fail")
 
 
@@ -36,28 +37,32 @@ def decode_json(
         return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
     options["columnNameOfCorruptRecord"] = CORRUPT
     with_corrupt = T.StructType([*_nullable(schema).fields, T.StructField(CORRUPT, T.StringType())])
-    decoded = df.select(*keep, F.from_json(F.col(value), with_corrupt, options).alias("_r"))
-    broken = broken_record("_r", schema)
+    # Unnesting a list of one keeps the parse in one place: a filter on plain fields
+    # would be moved below a projection and parse the line again for each field.
+    no_text = F.coalesce(F.trim(value) == "", F.lit(True)).alias(VOID)
+    decoded = df.select(*keep, no_text, F.inline(F.array(F.from_json(F.col(value), with_corrupt, options))))
+    broken = broken_record(schema)
     if policy == "skip":
-        return decoded.where(~broken).select(*keep, *[F.col(f"_r.{f.name}") for f in schema.fields])
+        return decoded.where(~broken).select(*keep, *schema.fieldNames())
     defaults = sentinel or {}
     return decoded.select(
         *keep,
         *[
-            F.when(broken, F.lit(defaults.get(f.name)).cast(f.dataType))
-            .otherwise(F.col(f"_r.{f.name}"))
-            .alias(f.name)
+            F.when(broken, F.lit(defaults.get(f.name)).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
             for f in schema.fields
         ],
     )
 
 
-def broken_record(record: str, schema: T.StructType) -> Column:
-    """True for a line that is no JSON record at all: marked corrupt and without one field set."""
+def broken_record(schema: T.StructType) -> Column:
+    """True for a line that is no JSON record at all: without one field set, and marked corrupt or empty.
+
+    A corrupt mark alone is not enough, a field of the wrong type sets it too.
+    """
     empty = F.lit(True)
     for f in schema.fields:
-        empty = empty & F.col(f"{record}.{f.name}").isNull()
-    return F.col(record).isNull() | (F.col(f"{record}.{CORRUPT}").isNotNull() & empty)
+        empty = empty & F.col(f.name).isNull()
+    return empty & (F.col(CORRUPT).isNotNull() | F.col(VOID))
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

@@ -17,7 +17,11 @@ def page_and_user_views(df: DataFrame, ts: str = "time", uid: str = "uid", appro
     so a crowded hour is spread over its users.
     """
     users = F.approx_count_distinct(uid) if approximate else F.countDistinct(uid)
-    return df.groupBy(hour_label(ts).alias("hour")).agg(F.count(F.lit(1)).alias("pv"), users.alias("uv"))
+    # The hour is grouped as an instant and becomes text once per result row.
+    hours = df.groupBy(F.date_trunc("hour", ts).alias("_hour")).agg(
+        F.count(F.lit(1)).alias("pv"), users.alias("uv")
+    )
+    return hours.select(hour_label("_hour").alias("hour"), "pv", "uv")
 
 
 def window_sum(
@@ -30,12 +34,39 @@ def window_sum(
     offset: str | None = None,
     name: str = "cnt",
 ) -> DataFrame:
-    """Sum per window and key, with the borders of the window as plain columns."""
-    window = F.window(ts, duration, slide or duration, offset or "0 seconds")
+    """Sum per window and key, with the borders of the window as plain columns.
+
+    For sliding windows of a table the rows are first summed per step (the part
+    that neighbouring windows share), so a row is counted once and not once per window.
+    """
     total = F.sum(F.col(value) if isinstance(value, str) else value)
+    start = offset or "0 seconds"
+    if slide and not df.isStreaming and _is_multiple(duration, slide):
+        step = F.window(ts, slide, slide, start)
+        steps = df.groupBy(step.alias("_step"), *keys).agg(total.alias("_part"))
+        df = steps.select(F.col("_step.start").alias("_at"), *keys, "_part")
+        ts, total = "_at", F.sum("_part")
+    window = F.window(ts, duration, slide or duration, start)
     return with_borders(df.groupBy(window.alias("window"), *keys).agg(total.alias(name)))
 
 
+def _is_multiple(duration: str, slide: str) -> bool:
+    """Whether the steps cut the window evenly."""
+    size, step = (_seconds(d) for d in (duration, slide))
+    return size is not None and step is not None and size % step == 0
+
+
+# Seconds per unit of a duration text.
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(duration: str) -> int | None:
+    """Seconds of a plain duration such as ``10 minutes``; None for any other form."""
+    parts = duration.split()
+    unit = _UNITS.get(parts[1].removesuffix("s")) if len(parts) == 2 else None
+    return int(parts[0]) * unit if unit and parts[0].isdigit() else None
+
+
 def with_borders(df: DataFrame, window: str = "window") -> DataFrame:
     rest = [c for c in df.columns if c != window]
     return df.select(

@@ -135,14 +135,10 @@ def next_match(
     blocks = ordered_blocks(df, order)
     position = F.struct(*order)
     found = F.when(F.col(is_end), F.struct(*payload))
-    ends = (
-        blocks.where(F.col(is_end))
-        .groupBy(*keys, BLOCK)
-        .agg(F.min_by(F.struct(*payload), position).alias("_end"))
+    # Every block (of the key) with its own first end, null where it has none.
+    known = blocks.groupBy(*keys, BLOCK).agg(
+        F.min_by(F.struct(*payload), F.when(F.col(is_end), position)).alias("_end")
     )
-    # Every block (of the key) asks for the nearest end behind it.
-    slots = blocks.select(*keys, BLOCK).distinct().withColumn("_end", F.lit(None).cast(ends.schema["_end"].dataType))
-    known = slots.unionByName(ends).groupBy(*keys, BLOCK).agg(F.max("_end").alias("_end"))
     behind = (
         Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulseboard.operators.topk import top_per_group
+from pulseboard.session import stage
+
 PREFIX_LENGTH = 3
 MAX_EXPANSIONS = 10
 K1 = 1.2
@@ -21,46 +26,72 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def fuzzy_search(docs: DataFrame, term: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document with a word close to ``term``, with its score.
+def fuzzy_searches(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every document with a word close to a term, with its score: (search_id, doc_id, score).
 
-    A word is close when it shares the first characters with the term and is few
-    edits away; of all such words the nearest ten count. The score is BM25 summed
-    over these words. Texts are read once where they lie: only counts of close
-    words leave a task.
+    ``search_id`` counts the terms from 1. A word is close when it shares the first
+    characters with the term and is few edits away; of all such words the nearest
+    ten count. The score is BM25 summed over these words. The texts are read once
+    for all terms: only lengths and close words are kept, and stored.
     """
-    term = term.lower()
-    prefix, edits = term[:PREFIX_LENGTH], allowed_edits(term)
+    terms = [t.lower() for t in terms]
 
-    def close(word: Column) -> Column:
-        return word.startswith(prefix) & (F.levenshtein(word, F.lit(term)) <= edits)
+    def close_to(word: Column, term: str) -> Column:
+        near = F.levenshtein(word, F.lit(term)) <= allowed_edits(term)
+        return word.startswith(term[:PREFIX_LENGTH]) & near
 
-    scanned = docs.select(doc_id, words(F.col(text)).alias("_words")).select(
-        doc_id, F.size("_words").alias("_length"), F.filter("_words", close).alias("_close")
+    def close_to_any(word: Column) -> Column:
+        found = F.lit(False)
+        for term in terms:
+            found = found | close_to(word, term)
+        return found
+
+    scanned = stage(
+        docs.select(doc_id, words(F.col(text)).alias("_words")).select(
+            doc_id, F.size("_words").alias("_length"), F.filter("_words", close_to_any).alias("_close")
+        ),
+        "close-words",
     )
-    totals = scanned.agg(F.count(F.lit(1)).alias("_docs"), F.avg("_length").alias("_avg_length"))
+    # One row of totals, read as a scalar.
+    corpus = scanned.agg(
+        F.struct(F.count(F.lit(1)).alias("docs"), F.avg("_length").alias("avg_length")).alias("c")
+    ).scalar()
     counts = (
         scanned.select(doc_id, "_length", F.explode("_close").alias("_word"))
         .groupBy(doc_id, "_length", "_word")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
+    parts = [
+        _scored(counts.where(close_to(F.col("_word"), term)), term, corpus, doc_id).select(
+            F.lit(number).alias("search_id"), doc_id, "score"
+        )
+        for number, term in enumerate(terms, 1)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _scored(counts: DataFrame, term: str, corpus: Column, doc_id: str) -> DataFrame:
     expansions = (
         counts.groupBy("_word")
         .agg(F.count(F.lit(1)).alias("_df"))
         .orderBy(F.levenshtein("_word", F.lit(term)), "_word")
         .limit(MAX_EXPANSIONS)
     )
-    # One row of totals, read as a scalar.
-    corpus = totals.select(F.struct("_docs", "_avg_length")).scalar()
     # At most ten expansion rows.
     hits = counts.join(F.broadcast(expansions), "_word").withColumn("_corpus", corpus)
-    idf = F.log(
-        1 + (F.col("_corpus._docs") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)
-    )
-    norm = K1 * (1 - B + B * F.col("_length") / F.col("_corpus._avg_length"))
+    idf = F.log(1 + (F.col("_corpus.docs") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    norm = K1 * (1 - B + B * F.col("_length") / F.col("_corpus.avg_length"))
     score = idf * F.col("_tf") * (K1 + 1) / (F.col("_tf") + norm)
     return hits.groupBy(doc_id).agg(F.round(F.sum(score), 6).alias("score"))
 
 
+def fuzzy_search(docs: DataFrame, term: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every document with a word close to ``term``, with its score."""
+    return fuzzy_searches(docs, [term], doc_id, text).drop("search_id")
+
+
 def top_hits(scored: DataFrame, n: int = 10, doc_id: str = "doc_id") -> DataFrame:
+    """The best ``n`` documents; of several searches, of each."""
+    if "search_id" in scored.columns:
+        return top_per_group(scored, ["search_id"], [("score", "desc"), doc_id], n).drop("rownum")
     return scored.orderBy(F.col("score").desc(), doc_id).limit(n)

@@ -11,7 +11,7 @@ from pulseboard.operators.pattern import alert_rows, followed_by
 from pulseboard.operators.topk import top_overall, top_per_group
 from pulseboard.plans.inputs import AMOUNTS, BEHAVIOUR, ROOMS, amounts, behaviour, rooms
 from pulseboard.plans.registry import query
-from pulseboard.streaming.dashboards import running_users
+from pulseboard.streaming.dashboards import first_seen, running_users
 
 # Input spans are longer than the defaults of the operators, since the events lie minutes apart.
 TUMBLE = "1 hour"
@@ -33,8 +33,11 @@ RUNNING_USERS_ROWS = f"""(SELECT event_id, count(DISTINCT uid) OVER w AS cnt,
 
 
 def running_user_rows(rows):
-    labelled = rows.select("event_id", "uid", "time", times.ten_minute_label("time").alias("_label"))
-    return running_distinct(labelled, ["time", "event_id"], "uid", "cnt", {"label": ("max", "_label")})
+    # The label grows with the time, so the running maximum is taken of the time.
+    counted = running_distinct(
+        rows.select("event_id", "uid", "time"), ["time", "event_id"], "uid", "cnt", {"_latest": ("max", "time")}
+    )
+    return counted.select("event_id", "cnt", times.ten_minute_label("_latest").alias("label"))
 
 
 @query("agg2_max_by_label", f"SELECT label, max(cnt) AS cnt FROM {RUNNING_USERS_ROWS} GROUP BY label")
@@ -176,8 +179,7 @@ RUNNING_BY_LABEL = f"""SELECT label, CAST(sum(n) OVER (ORDER BY label) AS BIGINT
 
 @query("win1_running_users_by_label", RUNNING_BY_LABEL)
 def win1_by_label(spark, folder):
-    first = behaviour(spark, folder).groupBy("uid").agg(F.min(times.ten_minute_label("time")).alias("label"))
-    return running_users(first)
+    return running_users(first_seen(behaviour(spark, folder)))
 
 
 @query("win2_running_max", f"""

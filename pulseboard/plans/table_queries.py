@@ -179,14 +179,12 @@ def src11(spark, folder):
         UNION ALL (SELECT 3, doc_id FROM documents ORDER BY doc_id LIMIT 10))""")
 def src12(spark, folder):
     docs = named_table(spark, folder, "documents")
-    found = [search.top_hits(search.fuzzy_search(docs, t)).select("doc_id") for t in (SEARCH_TERM, SECOND_TERM)]
+    found = search.top_hits(search.fuzzy_searches(docs, [SEARCH_TERM, SECOND_TERM]))
     # A match-all search scores every document alike, so the order is that of the ids.
-    found.append(docs.select("doc_id").orderBy("doc_id").limit(10))
-    union = None
-    for number, hits in enumerate(found, 1):
-        part = hits.select(F.lit(number).alias("search_id"), records.encode_json("doc_id").alias("doc"))
-        union = part if union is None else union.unionByName(part)
-    return union
+    every = docs.select(F.lit(3).alias("search_id"), "doc_id").orderBy("doc_id").limit(10)
+    return found.select("search_id", "doc_id").unionByName(every).select(
+        "search_id", records.encode_json("doc_id").alias("doc")
+    )
 
 
 @query("src13_scroll_pages", f"""

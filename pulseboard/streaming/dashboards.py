@@ -78,7 +78,7 @@ def overall_top_writer(table: KeyedTable, spread_by: str, n: int = 3) -> Callabl
 
 def first_seen(events: DataFrame, ts: str = "time", uid: str = "uid") -> DataFrame:
     """Earliest ten-minute label of each user so far (update mode)."""
-    return events.groupBy(uid).agg(F.min(ten_minute_label(ts)).alias("label"))
+    return events.groupBy(uid).agg(F.min(ts).alias("_first")).select(uid, ten_minute_label("_first").alias("label"))
 
 
 def running_users(first: DataFrame, label: str = "label") -> DataFrame:
@@ -111,14 +111,18 @@ def rolling_sum_writer(state: KeyedTable, path: str, key: str, value: str, order
 
     def write(batch: DataFrame, batch_id: int) -> None:
         before = state.read(before=batch_id).select(F.col(key).alias("_k"), F.col(value).alias("_before"))
-        rows = running(batch, order, {"_within": ("sum", value)}, [key])
-        summed = (
-            rows.join(before, F.col(key).eqNullSafe(F.col("_k")), "left")
-            .withColumn("rolling", F.coalesce("_before", F.lit(0)) + F.col("_within"))
-            .drop("_k", "_before", "_within")
-        )
-        append(summed, batch_id)
-        state.write(batch, batch_id)
+        kept = batch.persist()
+        try:
+            rows = running(kept, order, {"_within": ("sum", value)}, [key])
+            summed = (
+                rows.join(before, F.col(key).eqNullSafe(F.col("_k")), "left")
+                .withColumn("rolling", F.coalesce("_before", F.lit(0)) + F.col("_within"))
+                .drop("_k", "_before", "_within")
+            )
+            append(summed, batch_id)
+            state.write(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 
@@ -145,6 +149,13 @@ class SequenceWriter:
         self._append = append_batch(f"{path}/matches")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            self._advance(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    def _advance(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = list(dict.fromkeys([*self.keys, self.ts, self.tie, *self.payload]))
         marked = batch.select(
