@@ -30,7 +30,7 @@ class TopPerWindow(StatefulProcessor):
             best = sorted(best, key=lambda r: (-r[1], r[0]))[: self._n]
         self._rows.put(best)
         self._handle.registerTimer(int(pd.Timestamp(key[0]).timestamp() * 1000) + 1)
-        yield pd.DataFrame({"window_end": [], "room_id": [], "cnt": [], "rownum": []})
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         best = [tuple(r) for r in self._rows.get()]
