@@ -19,40 +19,27 @@ def _cell(value: Column, low: float, span: float) -> Column:
     return F.least(scaled, F.lit((1 << _AXIS_BITS) - 1)).cast("bigint")
 
 
-def _spread(value: Column) -> Column:
-    """Put a zero bit between neighbouring bits by five shift-and-mask steps."""
-    steps = [
-        (16, 0x0000FFFF0000FFFF),
-        (8, 0x00FF00FF00FF00FF),
-        (4, 0x0F0F0F0F0F0F0F0F),
-        (2, 0x3333333333333333),
-        (1, 0x5555555555555555),
-    ]
-    for shift, mask in steps:
-        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
-    return value
+def _letter(lat: Column, lon: Column, position: int) -> Column:
+    """Letter ``position`` of the code: five bits, taken from both axes in turn, longitude first."""
+    value = F.lit(0).cast("bigint")
+    for place in range(5):
+        bit = 5 * position + place
+        axis = lon if bit % 2 == 0 else lat
+        one = F.shiftright(axis, _AXIS_BITS - 1 - bit // 2).bitwiseAND(F.lit(1))
+        value = value.bitwiseOR(F.shiftleft(one, 4 - place))
+    return F.substring(F.lit(GEOHASH_ALPHABET), (value + 1).cast("int"), F.lit(1))
 
 
 def geohash(latitude: Column | str, longitude: Column | str, precision: int = 12) -> Column:
     """Base-32 geohash of up to 12 characters, by bit arithmetic on columns.
 
-    Longitude takes the first bit of each pair.
+    The cell numbers repeat in every letter; generated code evaluates them once.
     """
     if not 1 <= precision <= 12:
         raise ValueError("precision must be between 1 and 12")
-    lat = F.col(latitude) if isinstance(latitude, str) else latitude
-    lon = F.col(longitude) if isinstance(longitude, str) else longitude
-    # The code repeats in every letter; generated code evaluates such a repeated part once.
-    code = F.shiftleft(_spread(_cell(lon, -180.0, 360.0)), 1).bitwiseOR(_spread(_cell(lat, -90.0, 180.0)))
-    letters = [
-        F.substring(
-            F.lit(GEOHASH_ALPHABET),
-            (F.shiftright(code, 55 - 5 * i).bitwiseAND(F.lit(31)) + 1).cast("int"),
-            F.lit(1),
-        )
-        for i in range(precision)
-    ]
-    return F.concat(*letters)
+    lat = _cell(F.col(latitude) if isinstance(latitude, str) else latitude, -90.0, 180.0)
+    lon = _cell(F.col(longitude) if isinstance(longitude, str) else longitude, -180.0, 360.0)
+    return F.concat(*[_letter(lat, lon, i) for i in range(precision)])
 
 
 def location_row_key(uid: Column | str, latitude: Column | str, longitude: Column | str) -> Column:

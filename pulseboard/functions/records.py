@@ -11,6 +11,17 @@ VOID = "_void"
 POLICIES = ("skip", "sentinel", "fail")
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column], keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Select ``keep`` and the new ``columns``, each evaluated once per row.
+
+    A later filter or expression on plain computed columns would be merged with
+    their definition and evaluate it once more per use. Unnesting a list of one
+    keeps costly parses in one place.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def decode_json(
     df: DataFrame,
     schema: T.StructType,
@@ -37,8 +48,7 @@ def decode_json(
         return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
     options["columnNameOfCorruptRecord"] = CORRUPT
     with_corrupt = T.StructType([*_nullable(schema).fields, T.StructField(CORRUPT, T.StringType())])
-    # Unnesting a list of one keeps the parse in one place: a filter on plain fields
-    # would be moved below a projection and parse the line again for each field.
+    # As in ``computed_once``: the line is parsed once, whatever is filtered later.
     no_text = F.coalesce(F.trim(value) == "", F.lit(True)).alias(VOID)
     decoded = df.select(*keep, no_text, F.inline(F.array(F.from_json(F.col(value), with_corrupt, options))))
     broken = broken_record(schema)

@@ -261,14 +261,18 @@ def credits(spark, folder):
 
 
 def credit_records(lines):
-    lines = lines.select(
-        records.json_path("value", "$.message").alias("m"), records.json_path("value", "$.log.offset").alias("o")
-    )
-    return lines.select(
-        records.csv_field("m", 1, "bigint").alias("uid"),
-        records.csv_field("m", 2, "bigint").alias("date_of"),
-        records.csv_field("m", 3, "int").alias("num"),
-        records.csv_field("m", 4, "decimal(38,18)").alias("credit"),
+    parts = records.computed_once(lines, {
+        "m": F.split(records.json_path("value", "$.message"), ","), "o": records.json_path("value", "$.log.offset"),
+    })
+
+    def field(position, data_type):
+        return F.try_element_at("m", F.lit(position)).try_cast(data_type)
+
+    return parts.select(
+        field(1, "bigint").alias("uid"),
+        field(2, "bigint").alias("date_of"),
+        field(3, "int").alias("num"),
+        field(4, "decimal(38,18)").alias("credit"),
         F.col("o").cast("bigint").alias("log_offset"),
     )
 

@@ -67,15 +67,9 @@ class KeyedTable:
 
     def _folded(self, rows: DataFrame) -> DataFrame:
         """One row per key."""
-        others = [c for c in rows.columns if c not in self.keys]
         if self.mode == "add":
-            first = F.struct(*[c for c in others if c not in self.measures])
-            grouped = rows.groupBy(*self.keys).agg(
-                *[F.sum(m).cast(self.schema[m].dataType).alias(m) for m in self.measures],
-                F.min_by(first, F.col(BATCH)).alias("_first"),
-            )
-            picked = {c: F.col(f"_first.{c}") for c in others if c not in self.measures}
-            return grouped.select(*[picked[c].alias(c) if c in picked else F.col(c) for c in rows.columns])
+            return self._added(rows)
+        others = [c for c in rows.columns if c not in self.keys]
         last = rows.groupBy(*self.keys).agg(
             F.max_by(F.struct(*others), F.struct(SEQ, BATCH)).alias("_last")
         )
@@ -83,6 +77,16 @@ class KeyedTable:
             *[F.col(c) if c in self.keys else F.col(f"_last.{c}").alias(c) for c in rows.columns]
         )
 
+    def _added(self, rows: DataFrame) -> DataFrame:
+        kept = [c for c in self.schema.fieldNames() if c not in self.keys and c not in self.measures]
+        totals = [F.sum(m).cast(self.schema[m].dataType).alias(m) for m in self.measures]
+        # Without kept columns all parts have a fixed size, and the totals are hashed and not sorted.
+        first = [F.min_by(F.struct(*kept), F.col(BATCH)).alias("_first")] if kept else []
+        grouped = rows.groupBy(*self.keys).agg(
+            *totals, *first, F.max(SEQ).alias(SEQ), F.min(BATCH).alias(BATCH), F.bool_and(DELETED).alias(DELETED)
+        )
+        return grouped.select(*[F.col(f"_first.{c}").alias(c) if c in kept else F.col(c) for c in rows.columns])
+
     def _numbers(self, kind: str) -> list[int]:
         """Finished folders, oldest first. A folder counts once its job has committed."""
         jvm = self.spark.sparkContext._jvm
