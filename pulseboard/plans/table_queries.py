@@ -19,7 +19,7 @@ from pulseboard.plans.functions_queries import (
 )
 from pulseboard.plans.inputs import BEHAVIOUR, CHANGES, PROFILES, behaviour, changes, events, profiles
 from pulseboard.plans.registry import query
-from pulseboard.session import new_path
+from pulseboard.session import new_path, stage
 from pulseboard.sinks import files
 from pulseboard.sinks.keyed import KeyedTable
 from pulseboard.sources.generated import RandomInt, RandomText, Sequence, with_fields
@@ -335,7 +335,8 @@ def snk4(spark, folder):
     target = KeyedTable(
         spark, new_path(spark, "snk4"), CREDIT_TYPES, ["uid", "date_of"], mode="add", measures=["num", "credit"]
     )
-    rows = credits(spark, folder).where("uid is not null")
+    # Decoded once; a stream decodes each record in its own batch only.
+    rows = stage(credits(spark, folder).where("uid is not null"), "credits")
     target.write(rows.where("num <= 3"), 0)
     # The second batch is repeated as after a failure and counts once.
     target.write(rows.where("num > 3"), 1)
