@@ -101,8 +101,9 @@ ROLLING = f"""SELECT event_id, category, CAST(sum(value) OVER (PARTITION BY cate
 
 @query("agg8_rolling_sum", ROLLING)
 def agg8(spark, folder):
-    rows = running(amounts(spark, folder), ["ts", "event_id"], {"rolling": ("sum", "value")}, ["category"])
-    return rows.select("event_id", "category", "rolling")
+    rows = amounts(spark, folder).select("event_id", "ts", "category", "value")
+    summed = running(rows, ["ts", "event_id"], {"rolling": ("sum", "value")}, ["category"])
+    return summed.select("event_id", "category", "rolling")
 
 
 @query("agg9_global_reduce", f"SELECT CAST(sum(value) AS BIGINT) AS total FROM {AMOUNTS}")

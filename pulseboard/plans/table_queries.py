@@ -423,7 +423,7 @@ DATED = """SELECT CASE WHEN event_id % 40 = 0 THEN '00000000' ELSE strftime(ts,
 def snk12(spark, folder):
     path = new_path(spark, "snk12")
     lines = dated_lines(events(spark, folder)).withColumn("dt", files.event_date("value"))
-    lines.write.partitionBy("dt").text(path)
+    lines.hint("rebalance", "dt").write.partitionBy("dt").text(path)
     stored = spark.read.schema("value string, dt string").text(path)
     return stored.select("dt", F.col("value").alias("line"))
 

@@ -111,8 +111,9 @@ class CommittingPartitions:
         try:
             # The batch number in the file folder makes a repeated batch replace its own files.
             tagged = kept.withColumn("batch", F.lit(batch_id))
+            # One shuffle by folder keeps the files few; a crowded folder is split at run time.
             (
-                tagged.write.mode("overwrite")
+                tagged.hint("rebalance", *self.parts).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*self.parts, "batch")
                 .parquet(f"{self.path}/data")
@@ -145,7 +146,7 @@ class CommittingPartitions:
             due = F.unix_micros("part_start") <= F.lit(newest - behind)
         state.where(due).select(*self.parts).write.mode("overwrite").parquet(f"{self.path}/committed/n={batch_id}")
         # One row per folder that became complete in this step.
-        for row in state.where(due).select(*self.parts).toLocalIterator():
+        for row in self._load("committed", batch_id).coalesce(1).toLocalIterator():
             self._mark(row)
         # The newest row stays, it carries the watermark.
         rest = state.where(~due | (F.unix_micros("max_ts") == F.lit(newest)))

@@ -149,14 +149,6 @@ class SequenceWriter:
         self._append = append_batch(f"{path}/matches")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            self._advance(kept, batch_id)
-        finally:
-            kept.unpersist()
-
-    def _advance(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         columns = list(dict.fromkeys([*self.keys, self.ts, self.tie, *self.payload]))
         marked = batch.select(
             *columns,
@@ -164,8 +156,15 @@ class SequenceWriter:
             F.coalesce(F.expr(self.end), F.lit(False)).alias("is_end"),
             F.lit(False).alias("passed"),
         )
-        newest = _largest(marked, F.unix_micros(self.ts))
-        rows = marked.where("is_start or is_end")
+        # Only starts and ends are held; the other rows count for the clock alone.
+        rows = marked.where("is_start or is_end").persist()
+        try:
+            self._advance(rows, _largest(batch, F.unix_micros(self.ts)), batch_id)
+        finally:
+            rows.unpersist()
+
+    def _advance(self, rows: DataFrame, newest: int | None, batch_id: int) -> None:
+        spark = rows.sparkSession
         last = None
         if batch_id > 0:
             kept = spark.read.schema(_with_newest(rows.schema)).parquet(f"{self.path}/state/n={batch_id - 1}")

@@ -209,6 +209,22 @@ def test_late_rows_are_dropped_and_counted(spark, feed):
     assert dropped == 1
 
 
+@pytest.mark.parametrize("idle_inputs, windows", [(True, 1), (False, 0)])
+def test_an_idle_input_can_be_passed_over(spark, idle_inputs, windows):
+    session = stream_session(spark, idle_inputs)
+    silent, busy = Feed(spark, session), Feed(spark, session)
+    one = spark.createDataFrame([(1,)], "one int")
+    silent.add(one.withColumn("ts", F.to_timestamp(F.lit("2024-01-01 00:00:10"))))
+    busy.add(one.withColumn("ts", F.to_timestamp(F.lit("2024-01-01 00:00:20"))))
+    busy.add(one.withColumn("ts", F.to_timestamp(F.lit("2024-01-01 00:05:00"))))
+    # Zero delay: the watermark is the largest time itself.
+    both = event_time(silent.stream(), "ts", "0 seconds").unionByName(event_time(busy.stream(), "ts", "0 seconds"))
+    counts = both.groupBy(F.window("ts", "1 minute").alias("w")).agg(F.sum("one").alias("n"))
+    seen = []
+    drain(counts, lambda b, i: seen.extend(r["n"] for r in b.collect()), busy.path("cp"))
+    assert seen == [2] * windows
+
+
 def test_file_dimension_is_seen_when_it_grows(spark, feed):
     dim = feed.path("dim")
     spark.createDataFrame([(1, "one")], "k bigint, name string").write.parquet(dim)
