@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from pulseboard.sources.tables import monitored_table, named_table
 
+# Fixed value: the hash in which the dashboard looks for its counts.
+CLICK_HASH = "DASHBOARD:USER:PHONE:CNT"
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),

@@ -92,7 +92,7 @@ def _upsert(df: DataFrame, s: Settings, keys: list[str], mode: str, seq: str | N
 
 def keyed_result(spark: SparkSession, s: Settings, schema: T.StructType, keys: list[str]) -> KeyedTable:
     """The table that a keyed job writes."""
-    return KeyedTable(spark, s.table, schema, keys)
+    return KeyedTable(spark, s.table, schema, keys, compact_every=100)
 
 
 def hourly_views(spark: SparkSession, s: Settings, writer: BatchWriter | None = None) -> StreamingQuery:
@@ -183,7 +183,7 @@ def credit_totals(spark: SparkSession, s: Settings, writer: BatchWriter | None =
         field(4, "decimal(38,18)").alias("result_credit"),
     ).where("uid is not null and date_of is not null and num is not null and result_credit is not null")
     if writer is None:
-        writer = KeyedTable(spark, s.table, rows.schema, ["uid", "date_of"], "add", ["num", "result_credit"]).write
+        writer = KeyedTable(spark, s.table, rows.schema, ["uid", "date_of"], "add", ["num", "result_credit"], 100).write
     return start(rows, writer, s.checkpoint, "append", s.every)
 
 

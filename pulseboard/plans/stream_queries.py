@@ -13,9 +13,9 @@ from pulseboard.operators.lookup import RefreshingDimension
 from pulseboard.operators.pattern import alert_rows
 from pulseboard.plans import dashboard_queries as dq
 from pulseboard.plans import table_queries as tq
-from pulseboard.plans.functions_queries import CREDITS, DECODED, RECORD_SCHEMA, credit_lines
+from pulseboard.plans.functions_queries import CREDITS, DECODED, RECORD_SCHEMA, credit_lines, credit_records
 from pulseboard.plans.inputs import (
-    AMOUNTS, BEHAVIOUR, ROOMS, as_amounts, as_behaviour, as_rooms, changes, event_stream,
+    AMOUNTS, BEHAVIOUR, CLICK_HASH, as_amounts, as_behaviour, as_rooms, changes, event_stream,
 )
 from pulseboard.plans.registry import query
 from pulseboard.session import new_path, stream_session
@@ -220,14 +220,14 @@ def snk4_stream(spark, folder):
     job = Job(spark, "snk4")
     source = f"{job.base}/topic"
     credit_lines(spark, folder).write.text(source)
-    parsed = tq.credit_records(raw_topic(job.session, Topic(path=source))).where("uid is not null")
+    parsed = credit_records(raw_topic(job.session, Topic(path=source))).where("uid is not null")
     table = job.keyed(tq.CREDIT_TYPES, ["uid", "date_of"], "add", ["num", "credit"])
     drain(parsed, table.write, job.checkpoint)
     return job.read(table).withColumn("credit", F.col("credit").cast("string"))
 
 
 @query("snk8_hash_fields_stream", f"""
-    SELECT 'DASHBOARD:USER:PHONE:CNT' AS hash, uid || '_' || phone_type AS field,
+    SELECT '{CLICK_HASH}' AS hash, uid || '_' || phone_type AS field,
         CAST(CAST(sum(click_count) AS BIGINT) AS VARCHAR) AS value FROM {BEHAVIOUR} GROUP BY uid, phone_type""")
 def snk8_stream(spark, folder):
     job = Job(spark, "snk8")
@@ -235,7 +235,7 @@ def snk8_stream(spark, folder):
         F.sum("click_count").alias("cnt")
     )
     fields = clicks.select(
-        F.lit("DASHBOARD:USER:PHONE:CNT").alias("hash"), text.hash_field("uid", "phone_type").alias("field"),
+        F.lit(CLICK_HASH).alias("hash"), text.hash_field("uid", "phone_type").alias("field"),
         F.col("cnt").cast("string").alias("value"),
     )
     table = job.keyed(fields.schema, ["hash", "field"])

@@ -15,9 +15,9 @@ from pulseboard.operators.shape import wide_row
 from pulseboard.operators.topk import ranked_pages
 from pulseboard.plans.dashboard_queries import ALERTS, RUNNING_USERS_ROWS, running_user_rows, sequences
 from pulseboard.plans.functions_queries import (
-    CREDITS, DECODED, PROFILE_KEY_SQL, RECORD_SCHEMA, as_lines, credit_records, credits,
+    CREDITS, DECODED, PROFILE_KEY_SQL, RECORD_SCHEMA, as_lines, credits,
 )
-from pulseboard.plans.inputs import BEHAVIOUR, CHANGES, PROFILES, behaviour, changes, events, profiles
+from pulseboard.plans.inputs import BEHAVIOUR, CHANGES, CLICK_HASH, PROFILES, behaviour, changes, events, profiles
 from pulseboard.plans.registry import query
 from pulseboard.session import new_path, stage
 from pulseboard.sinks import files
@@ -367,12 +367,12 @@ def snk7(spark, folder):
 
 
 @query("snk8_hash_fields", f"""
-    SELECT 'DASHBOARD:USER:PHONE:CNT' AS hash, uid || '_' || phone_type AS field,
+    SELECT '{CLICK_HASH}' AS hash, uid || '_' || phone_type AS field,
         CAST(CAST(sum(click_count) AS BIGINT) AS VARCHAR) AS value FROM {BEHAVIOUR} GROUP BY uid, phone_type""")
 def snk8(spark, folder):
     counts = behaviour(spark, folder).groupBy("uid", "phone_type").agg(F.sum("click_count").alias("cnt"))
     fields = counts.select(
-        F.lit("DASHBOARD:USER:PHONE:CNT").alias("hash"),
+        F.lit(CLICK_HASH).alias("hash"),
         text.hash_field("uid", "phone_type").alias("field"),
         F.col("cnt").cast("string").alias("value"),
     )

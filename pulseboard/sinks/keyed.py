@@ -23,6 +23,7 @@ class KeyedTable:
 
     ``mode="replace"``: the last write of a key wins, by (sequence, batch).
     ``mode="add"``: ``measures`` are added up, other columns keep their first value.
+    ``compact_every`` folds the batches after each so many writes.
     """
 
     def __init__(
@@ -33,6 +34,7 @@ class KeyedTable:
         keys: Sequence[str],
         mode: str = "replace",
         measures: Sequence[str] = (),
+        compact_every: int | None = None,
     ):
         if mode not in ("replace", "add"):
             raise ValueError("mode must be replace or add")
@@ -42,6 +44,7 @@ class KeyedTable:
         self.keys = list(keys)
         self.mode = mode
         self.measures = list(measures)
+        self.compact_every = compact_every
 
     @property
     def _stored(self) -> T.StructType:
@@ -64,6 +67,8 @@ class KeyedTable:
             F.lit(batch_id).cast("bigint").alias(BATCH),
         )
         self._folded(rows).write.mode("overwrite").parquet(f"{self.path}/delta/n={batch_id}")
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact()
 
     def _folded(self, rows: DataFrame) -> DataFrame:
         """One row per key."""

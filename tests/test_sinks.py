@@ -72,6 +72,16 @@ def test_unfinished_batch_is_not_read(spark):
     assert content(t.read()) == {("a", 1, "x")}
 
 
+def test_compaction_while_writing(spark):
+    t = keyed(spark, mode="add", measures=["v"], compact_every=2)
+    for n in range(4):
+        t.write(frame(spark, [("a", 1, "x")]), n)
+    # The batch that was compacted is repeated.
+    t.write(frame(spark, [("a", 1, "x")]), 3)
+    assert len(t._parts()) == 1 and content(t.read()) == {("a", 4, "x")}
+    assert content(t.read(before=3)) == {("a", 3, "x")}
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         keyed(spark, mode="merge")

@@ -5,7 +5,6 @@ import time
 from datetime import timedelta
 from pathlib import Path
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
