@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from time import monotonic
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def lookup_join(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
@@ -26,17 +28,38 @@ def counted_lookup_join(
     fact_key: str,
     dimension_key: str,
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """As ``lookup_join`` for a source without size statistics, such as a database table.
 
-    The rows are counted first, at most ``max_rows + 1`` of them; a larger dimension
-    is joined by shuffle.
+    Rows and bytes are added up first, over at most ``max_rows + 1`` rows; a larger
+    dimension is joined by shuffle.
     """
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    side = F.broadcast(dimension) if small else dimension
+    side = F.broadcast(dimension) if fits(dimension, max_rows, max_bytes) else dimension
     return facts.join(side, facts[fact_key] == side[dimension_key], "inner")
 
 
+def fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether a table has at most so many rows and bytes."""
+    sizes = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1)
+    found = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("b").alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory, roughly and from above."""
+    total = F.lit(16).cast("bigint")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            total = total + 2 * F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        else:
+            total = total + 16
+    return total
+
+
 def keyed_lookup(
     facts: DataFrame,
     dimension: DataFrame,

@@ -186,6 +186,9 @@ def test_broadcast_only_below_the_limit(spark):
 
     assert hinted(lookup.counted_lookup_join(facts, dim, "k", "key", max_rows=50))
     assert not hinted(lookup.counted_lookup_join(facts, dim, "k", "key", max_rows=49))
+    wide = dim.select("key", F.repeat(F.lit("x"), 1000).alias("t"), F.struct("key").alias("s"))
+    assert hinted(lookup.counted_lookup_join(facts, wide, "k", "key", max_bytes=100_000))
+    assert not hinted(lookup.counted_lookup_join(facts, wide, "k", "key", max_bytes=50_000))
 
 
 def test_keyed_lookup_pushes_the_keys(spark, folder):
