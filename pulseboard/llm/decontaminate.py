@@ -244,6 +244,8 @@ def _apply(column: pa.Array, tests: list[Tests | None]) -> list[dict]:
 
 def _groups(sorted_values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
     """Values, first places and ends of equal stretches."""
+    if not len(sorted_values):
+        return [], [], []
     values, first = np.unique(sorted_values, return_index=True)
     return values.tolist(), first.tolist(), [*first[1:].tolist(), len(sorted_values)]
 
