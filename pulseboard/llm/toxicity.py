@@ -31,7 +31,7 @@ QUIET = 0.35  # kernel values below count as nothing in common
 LANDMARKS = 96
 TRAIN_DOCS = 4_000
 TRAIN_CHARS = 40_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 SUMMARY = 7
 _LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -98,21 +98,24 @@ class Landmarks:
     strings: list[str]
     codes: np.ndarray = field(init=False)
     letters: np.ndarray = field(init=False)
+    needed: np.ndarray = field(init=False)
     own: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         self.codes = _grid(self.strings, 1)
         self.letters = _letters(self.codes, 1)
+        self.needed = np.maximum(4, np.ceil(np.bitwise_count(self.letters) * 0.66)).astype(np.uint8)
         self.own = _raw_kernel(np.where(self.codes == 1, np.uint32(2), self.codes), self.codes)
 
     def compare(self, strings: list[str]) -> np.ndarray:
-        """Normalised kernel of each string with each landmark; 0 below ``QUIET`` and with fewer than four shared characters."""
+        """Normalised kernel of each string with each landmark; 0 below ``QUIET``, and with less than two thirds of the landmark's
+        different characters (four at least) in the string."""
         out = np.zeros((len(strings), len(self.strings)), np.float32)
         order = sorted(range(len(strings)), key=lambda k: len(strings[k]))
         for at in range(0, len(order), 4_000):
             rows = np.array(order[at:at + 4_000])
             codes = _grid([strings[k] for k in rows], 2)
-            shared = np.bitwise_count(_letters(codes, 2)[:, None] & self.letters[None, :]) > 3
+            shared = np.bitwise_count(_letters(codes, 2)[:, None] & self.letters[None, :]) >= self.needed[None, :]
             w, m = np.nonzero(shared)
             if not len(w):
                 continue
@@ -253,12 +256,14 @@ def _choose(toxic: list[str], clean: list[str], most: int) -> list[str]:
     with_word, without = found(toxic), found(clean)
     ratio = {w: math.log((n + 0.1) / len(toxic)) - math.log((without[w] + 0.5) / len(clean)) for w, n in with_word.items() if n >= 2}
     ranked = sorted((w for w in ratio if ratio[w] > 1.5), key=lambda w: (-with_word[w] * ratio[w], w))[:8 * most]
-    chosen: list[str] = []
-    while ranked and len(chosen) < most:
-        word = ranked.pop(0)
-        if not chosen or Landmarks(chosen).compare([word]).max() < 0.9:
-            chosen.append(word)
-    return chosen
+    if not ranked:
+        return []
+    like = Landmarks(ranked).compare(ranked)
+    chosen: list[int] = []
+    for k in range(len(ranked)):
+        if len(chosen) < most and (not chosen or like[k, chosen].max() < 0.9):
+            chosen.append(k)
+    return [ranked[k] for k in chosen]
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.02) -> np.ndarray:
