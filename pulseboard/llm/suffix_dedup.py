@@ -20,6 +20,7 @@ every evaluation numbers its pieces alike.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,10 @@ from pulseboard.llm.arrow_text import as_bytes
 SPAN = 50
 GRAM = 16
 #: Text of one shard, and text whose anchors make one bucket, in bytes. A document is never cut.
-SHARD_BYTES = 4_000_000
-BUCKET_BYTES = 32_000_000
+SHARD_BYTES = 2_000_000
+BUCKET_BYTES = 16_000_000
 #: Text that is sorted at a time within a bucket; the pieces of one anchor stay together.
-SORT_BYTES = 4_000_000
+SORT_BYTES = 1_500_000
 NO_ID = np.iinfo(np.int64).max  # a null id counts as larger than all others
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -75,6 +76,7 @@ class Shard:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * up, out=self.sums[1:])
         self.down = down
+        del up
         grams = _mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * down[:n - GRAM + 1])
         # The place in the low bits makes the leftmost of equal hashes the smallest.
         place_bits = np.uint64(max(1, n.bit_length()))
@@ -82,6 +84,7 @@ class Shard:
         keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         width, have = SPAN - GRAM + 1, 1
         least = keys
+        del keys
         while have < width:
             step = min(have, width - have)
             least = np.minimum(least[:-step], least[step:])
@@ -333,7 +336,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             flat = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             out.append({"bucket": b, "shard": left.column("shard")[0].as_py(), "numbers": chosen[part].astype(np.uint32).tobytes(),
                         "anchors": shard.anchor[first[chosen[part]]].tobytes(), "ids": least[chosen[part]].tobytes(),
-                        "windows": windows[part].astype(np.uint8).tobytes(), "text": shard.raw[flat].tobytes()})
+                        "windows": windows[part].astype(np.uint8).tobytes(), "text": zlib.compress(shard.raw[flat].tobytes(), 1)})
         return pa.Table.from_pylist(out, schema)
 
     def sort_pieces(table: pa.Table) -> pa.Table:
@@ -342,7 +345,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         of = np.repeat(np.arange(table.num_rows), [len(x) for x in numbers])
         numbers, anchors, ids, windows = (np.concatenate(x) for x in (numbers, get("anchors", np.uint64), get("ids", np.int64), windows))
         windows = windows.astype(np.int64)
-        raw = np.concatenate(get("text", np.uint8))
+        raw = np.frombuffer(b"".join(zlib.decompress(x) for x in table.column("text").to_pylist()), np.uint8)
         size = windows + SPAN - 1
         at = np.cumsum(size) - size
         answer: list[list[np.ndarray]] = [[] for _ in range(table.num_rows)]
