@@ -89,6 +89,8 @@ def plan(segments: int, radius: int) -> list[tuple[int, int, int]]:
     With r' = radius // segments and a = radius % segments, a link has either one of the first a + 1
     parts within r' or one of the others within r' - 1; else the parts would differ by more in sum.
     """
+    if segments < 2:
+        raise ValueError("two segments at least")
     near, extra = divmod(radius, segments)
     out, low = [], 0
     for k in range(segments):

@@ -31,7 +31,7 @@ QUIET = 0.35  # kernel values below count as nothing in common
 LANDMARKS = 96
 TRAIN_DOCS = 4_000
 TRAIN_CHARS = 40_000
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 SUMMARY = 7
 _LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -177,8 +177,8 @@ class Scorer:
             self.marked.clear()
             fresh = list(words)
         self.seen.update(fresh)
-        for at in range(0, len(fresh), 50_000):
-            part = fresh[at:at + 50_000]
+        for at in range(0, len(fresh), 20_000):
+            part = fresh[at:at + 20_000]
             values = self.model.landmarks.words(part)
             decisions = values @ self.model.weights
             for k in np.flatnonzero(values.any(axis=1)):
@@ -305,7 +305,7 @@ def score(text: Column, model: Model) -> Column:
         scorer = Scorer(model)
         for batch in batches:
             out: list[float] = []
-            for first, end, _, _ in pieces(batch):
+            for first, end, _, _ in pieces(batch, 1_000_000):
                 out += [model.score(row) for row in scorer.summaries(texts(batch.slice(first, end - first)))]
             yield pa.array(out, pa.float64())
 
