@@ -7,8 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 4_000_000
+#: Rows of an Arrow batch. Texts run to 100 kB, and a batch is held several times over in a worker and in its executor.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches() -> None:
+    """Let the session send texts to Python in batches of at most ``BATCH_ROWS`` rows."""
+    SparkSession.active().conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.arrow_text import pieces, texts
+from pulseboard.llm.arrow_text import bounded_batches, pieces, texts
 
 #: Words kept per worker between batches; when full the memory is emptied, which costs time only.
 KEPT_WORDS = 400_000
@@ -215,6 +215,7 @@ def encode(text: Column, ranks: bytes, pattern: str, digest: bool = False) -> Co
     kind = _DIGEST if digest else _STRUCT
     ddl = ("n_tokens long, ids_sha256 string, decoded_sha256 string" if digest
            else "n_tokens long, ids string, decoded binary")
+    bounded_batches()
 
     @F.arrow_udf(ddl)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

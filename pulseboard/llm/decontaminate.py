@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.arrow_text import ascii_lower, free_name, pieces, runs
+from pulseboard.llm.arrow_text import ascii_lower, bounded_batches, free_name, pieces, runs
 
 WINDOW = 13
 #: Test texts of one pass, in bytes. More are handled in further passes over the documents.
@@ -266,6 +266,7 @@ def overlap(benchmark: DataFrame, text: Column, item_col: str = "item_id", item_
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     slices = -(-size // pass_bytes) or 1
     named = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(item_text).alias("text"))
+    bounded_batches()
     spark = benchmark.sparkSession
     shared = []
     for k in range(slices):

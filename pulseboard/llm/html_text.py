@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.arrow_text import pieces, texts
+from pulseboard.llm.arrow_text import bounded_batches, pieces, texts
 
 PATH_DIM, WORD_DIM, PLAIN = 128, 32, 8
 INPUT = PATH_DIM + WORD_DIM + PLAIN
@@ -372,6 +372,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", sampl
 
 def main_text(body: Column, model: Model) -> Column:
     """Main text of each page; null counts as empty and gives an empty text."""
+    bounded_batches()
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

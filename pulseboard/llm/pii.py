@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.arrow_text import as_bytes, texts
+from pulseboard.llm.arrow_text import as_bytes, bounded_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -188,6 +188,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
 
     Patterns are counted in the tasks and combined before the shuffle; at most 4 * 3^5 patterns reach the driver.
     """
+    bounded_batches()
 
     @F.arrow_udf("map<string,bigint>")
     def patterns(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -243,6 +244,7 @@ _FOUND = pa.struct([(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa
 
 def find(text: Column, model: Model) -> Column:
     """Struct column: base spans per kind, digest of the base spans, all spans. Null counts as empty."""
+    bounded_batches()
 
     @F.arrow_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -261,6 +263,7 @@ def find(text: Column, model: Model) -> Column:
 
 def redact(text: Column, model: Model) -> Column:
     """Text with all spans replaced by their kind; null stays null."""
+    bounded_batches()
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
-from pulseboard.llm.arrow_text import free_name, pieces
+from pulseboard.llm.arrow_text import bounded_batches, free_name, pieces
 from pulseboard.session import stage
 
 SHINGLE = 3
@@ -204,6 +204,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for itself: its row gets the smallest id reachable. Rows repeated under one id each get a row. A
     component without any id has a null ``component_id``. An empty table gives an empty result.
     """
+    bounded_batches()
     marked = stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), "prints")
     # Ids of nodes without an id sort last and are taken away in the end.
     nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("label")), "nodes")

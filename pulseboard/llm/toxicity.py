@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.arrow_text import free_name, pieces, texts
+from pulseboard.llm.arrow_text import bounded_batches, free_name, pieces, texts
 from pulseboard.llm.training_rows import held_out, sample
 
 DECAY = np.float32(0.6)
@@ -31,7 +31,7 @@ QUIET = 0.35  # kernel values below count as nothing in common
 LANDMARKS = 96
 TRAIN_DOCS = 4_000
 TRAIN_CHARS = 40_000
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 SUMMARY = 7
 _LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -299,6 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, max_chars: i
 
 def score(text: Column, model: Model) -> Column:
     """Toxicity of each text, 0 to 1; null counts as empty."""
+    bounded_batches()
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
