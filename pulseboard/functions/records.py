@@ -65,14 +65,16 @@ def decode_json(
 
 
 def broken_record(schema: T.StructType) -> Column:
-    """True for a line that is no JSON record at all: without one field set, and marked corrupt or empty.
+    """True for a line that is no JSON object: empty, or marked corrupt and not readable as any object.
 
-    A corrupt mark alone is not enough, a field of the wrong type sets it too.
+    A corrupt mark alone is not enough, a field of the wrong type sets it too. Only marked lines without one
+    field set are read a second time.
     """
     empty = F.lit(True)
     for f in schema.fields:
         empty = empty & F.col(f.name).isNull()
-    return empty & (F.col(CORRUPT).isNotNull() | F.col(VOID))
+    no_object = F.from_json(F.col(CORRUPT), T.MapType(T.StringType(), T.StringType())).isNull()
+    return empty & (F.col(VOID) | F.when(empty & F.col(CORRUPT).isNotNull(), no_object).otherwise(False))
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

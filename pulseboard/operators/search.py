@@ -26,19 +26,21 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def fuzzy_searches(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fuzzy_searches(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text",
+                   prefix_length: int = PREFIX_LENGTH, max_expansions: int | None = MAX_EXPANSIONS) -> DataFrame:
     """Every document with a word close to a term, with its score: (search_id, doc_id, score).
 
     ``search_id`` counts the terms from 1. A word is close when it shares the first
     characters with the term and is few edits away; of all such words the nearest
-    ten count. The score is BM25 summed over these words. The texts are read once
+    ``max_expansions`` count (None: all). ``prefix_length`` is the number of first characters to share (0: none); both
+    are options of the search and not limits of the operator. The score is BM25 summed over these words. The texts are read once
     for all terms: only lengths and close words are kept, and stored.
     """
     terms = [t.lower() for t in terms]
 
     def close_to(word: Column, term: str) -> Column:
         near = F.levenshtein(word, F.lit(term)) <= allowed_edits(term)
-        return word.startswith(term[:PREFIX_LENGTH]) & near
+        return word.startswith(term[:prefix_length]) & near
 
     def close_to_any(word: Column) -> Column:
         found = F.lit(False)
@@ -62,7 +64,7 @@ def fuzzy_searches(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", te
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
     parts = [
-        _scored(counts.where(close_to(F.col("_word"), term)), term, corpus, doc_id).select(
+        _scored(counts.where(close_to(F.col("_word"), term)), term, corpus, doc_id, max_expansions).select(
             F.lit(number).alias("search_id"), doc_id, "score"
         )
         for number, term in enumerate(terms, 1)
@@ -70,15 +72,15 @@ def fuzzy_searches(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", te
     return reduce(DataFrame.unionByName, parts)
 
 
-def _scored(counts: DataFrame, term: str, corpus: Column, doc_id: str) -> DataFrame:
+def _scored(counts: DataFrame, term: str, corpus: Column, doc_id: str, most: int | None) -> DataFrame:
     expansions = (
         counts.groupBy("_word")
         .agg(F.count(F.lit(1)).alias("_df"))
-        .orderBy(F.levenshtein("_word", F.lit(term)), "_word")
-        .limit(MAX_EXPANSIONS)
     )
-    # At most ten expansion rows.
-    hits = counts.join(F.broadcast(expansions), "_word").withColumn("_corpus", corpus)
+    if most is not None:
+        # Sent to all tasks only with a bound on its rows.
+        expansions = F.broadcast(expansions.orderBy(F.levenshtein("_word", F.lit(term)), "_word").limit(most))
+    hits = counts.join(expansions, "_word").withColumn("_corpus", corpus)
     idf = F.log(1 + (F.col("_corpus.docs") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     norm = K1 * (1 - B + B * F.col("_length") / F.col("_corpus.avg_length"))
     score = idf * F.col("_tf") * (K1 + 1) / (F.col("_tf") + norm)

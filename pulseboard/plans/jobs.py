@@ -156,11 +156,14 @@ def table_sync(spark: SparkSession, s: Settings) -> StreamingQuery:
 
 
 def click_alerts(spark: SparkSession, s: Settings, clicks: int = 7, phone: str = "iOS",
-                 span: timedelta = timedelta(seconds=10)) -> StreamingQuery:
-    """A busy event followed by one of a phone type within the span; ``read_alerts`` shows the messages."""
+                 span: timedelta = timedelta(seconds=10), delay: timedelta = timedelta(0)) -> StreamingQuery:
+    """A busy event followed by one of a phone type within the span; ``read_alerts`` shows the messages.
+
+    Events may come out of order by ``delay``; starts and ends beyond it are in the table ``late`` beside the matches.
+    """
     rows = _behaviour(spark, s).withColumn("event_id", F.xxhash64("uid", "time", "phone_type", "click_count"))
     writer = db.SequenceWriter(
-        s.table, f"click_count > {clicks}", f"phone_type = '{phone}'", span, "time", "event_id", ["uid"]
+        s.table, f"click_count > {clicks}", f"phone_type = '{phone}'", span, "time", "event_id", ["uid"], delay=delay
     )
     return start(rows, writer, s.checkpoint, "append", s.every)
 

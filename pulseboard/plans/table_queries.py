@@ -53,7 +53,7 @@ def src2(spark, folder):
 @query("src3_start_offsets", """
     SELECT user_id % 4 AS partition, event_id AS "offset", event_type FROM events
     WHERE (user_id % 4 = 0 AND event_id >= 500) OR (user_id % 4 = 1 AND event_id >= 2000)
-        OR (user_id % 4 = 3 AND event_id >= 0)""")
+        OR user_id % 4 = 2 OR (user_id % 4 = 3 AND event_id >= 0)""")
 def src3(spark, folder):
     topic = events(spark, folder).select(
         (F.col("user_id") % 4).alias("partition"), F.col("event_id").alias("offset"), "event_type"

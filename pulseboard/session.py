@@ -80,18 +80,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stream_session(spark: SparkSession, idle_inputs: bool = False) -> SparkSession:
+def stream_session(spark: SparkSession, idle_inputs: bool = False, partitions: int | None = None) -> SparkSession:
     """Session of a streaming job.
 
-    State keeps the partition count it was created with, so it follows the
-    cores of the cluster and not a batch default. With ``idle_inputs`` the
+    State keeps the partition count it was created with, so it is ``partitions`` or else follows the
+    cores of the cluster at this moment (too few if executors are still to come), not a batch default. With ``idle_inputs`` the
     watermark of a job with several inputs follows the fastest one, so an input
     that falls silent does not hold the others.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max" if idle_inputs else "min")
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -45,6 +46,7 @@ def upsert_statement(
         return f"UPSERT INTO {table} ({names}) SELECT {names} FROM {staging}"
     if dialect == "duplicate_key":
         sets = [f"{c} = {table}.{c} + s.{c}" for c in add] if add else [f"{c} = s.{c}" for c in values]
+        sets = sets or [f"{keys[0]} = {table}.{keys[0]}"]  # keys only: a row that is there stays as it is
         picked = ", ".join(f"s.{c}" for c in columns)
         return (
             f"INSERT INTO {table} ({names}) SELECT {picked} FROM {staging} s "
@@ -94,6 +96,8 @@ class DatabaseUpsert:
         ledger: str = "pulseboard_ledger",
         query: str = "",
     ):
+        if not add and not order:
+            raise ValueError("replacing rows needs an order, or an arbitrary row of a key wins")
         self.db = db
         self.table = table
         self.keys = list(keys)
@@ -105,7 +109,7 @@ class DatabaseUpsert:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         folded = fold_batch(batch, self.keys, self.add, self.order)
-        staging = f"{self.table}_staging"
+        staging = self.staging()
         (
             folded.write.format("jdbc")
             .options(**self.db.reader_options(), dbtable=staging)
@@ -114,12 +118,16 @@ class DatabaseUpsert:
         )
         self._move(batch.sparkSession, staging, folded.columns, batch_id)
 
+    def staging(self) -> str:
+        """Staging table of this job; two jobs with one target have one each."""
+        return f"{self.table}_staging_{zlib.crc32(self.query.encode()):08x}"
+
     def statements(self, staging: str, columns: Sequence[str], batch_id: int) -> tuple[str, list[str]]:
         """The ledger question and the statements of the transaction."""
         asked = f"SELECT 1 FROM {self.ledger} WHERE query_id = '{self.query}' AND batch_id = {batch_id}"
         return asked, [
             upsert_statement(self.table, staging, self.keys, columns, self.add, self.dialect),
-            f"INSERT INTO {self.ledger} (query_id, batch_id) VALUES ('{self.query}', {batch_id})",
+            f"{'UPSERT' if self.dialect == 'upsert_into' else 'INSERT'} INTO {self.ledger} (query_id, batch_id) VALUES ('{self.query}', {batch_id})",
         ]
 
     def _move(self, spark, staging: str, columns: Sequence[str], batch_id: int) -> None:

@@ -68,17 +68,22 @@ def from_offsets(
     starting: str | Mapping[int, int],
     partition: str = "partition",
     offset: str = "offset",
+    unlisted: str = "earliest",
 ) -> DataFrame:
     """Start position over a stored topic with partition and offset columns.
 
     ``earliest`` keeps all; ``latest`` keeps nothing that is stored now; a map
-    gives the first offset per partition, partitions outside it are not read.
+    gives the first offset per partition. A start position moves the start and does not choose partitions: those
+    outside the map start at ``unlisted``, ``earliest`` or ``latest``. (The bus reader wants all partitions listed.)
     """
+    if unlisted not in ("earliest", "latest"):
+        raise ValueError("unlisted must be earliest or latest")
     if starting == "earliest":
         return df
     if starting == "latest":
         return df.where(F.lit(False))
-    wanted = F.lit(False)
+    outside = ~F.col(partition).isin([*starting]) if starting else F.lit(True)
+    wanted = F.coalesce(outside, F.lit(True)) if unlisted == "earliest" else F.lit(False)
     for part, first in starting.items():
         wanted = wanted | ((F.col(partition) == part) & (F.col(offset) >= first))
     return df.where(wanted)

@@ -131,7 +131,8 @@ class SequenceWriter:
     """Writer that finds two-step sequences across micro-batches.
 
     Events wait until the watermark (largest time seen minus ``delay``) has passed
-    them, so disorder up to the delay does not change the matches. Between batches
+    them, so disorder up to the delay does not change the matches. Starts and ends that come later still are
+    kept in the table ``late`` with their batch; none is dropped unseen. Between batches
     a stored table keeps the waiting events and the starts that can still be closed.
     """
 
@@ -147,6 +148,7 @@ class SequenceWriter:
         self.keys = list(keys)
         self.delay = delay
         self._append = append_batch(f"{path}/matches")
+        self._late = append_batch(f"{path}/late")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         columns = list(dict.fromkeys([*self.keys, self.ts, self.tie, *self.payload]))
@@ -170,6 +172,7 @@ class SequenceWriter:
             kept = spark.read.schema(_with_newest(rows.schema)).parquet(f"{self.path}/state/n={batch_id - 1}")
             last = _largest(kept, F.col("newest"))
             if last is not None:
+                self._late(rows.where(F.col(self.ts) < self._border(last)).drop("passed"), batch_id)
                 rows = rows.where(F.col(self.ts) >= self._border(last))
             rows = rows.unionByName(kept.where(F.col(self.tie).isNotNull()).drop("newest"))
         micros = max((m for m in (last, newest) if m is not None), default=0)

@@ -83,7 +83,7 @@ def test_documents(spark):
 
 
 SCHEMA = T.StructType([T.StructField("uid", T.LongType()), T.StructField("sex", T.StringType())])
-LINES = ['{"uid": 1, "sex": "f"}', '{"uid": "x", "sex": "m"}', '{"uid": 3}', "{}", "no json", "", None, "[1]"]
+LINES = ['{"uid": 1, "sex": "f"}', '{"uid": "x", "sex": "m"}', '{"uid": 3}', "{}", "no json", "", None, "[1]", '{"uid": "x"}', '{"uid": 4']
 
 
 def decoded(spark, **how):
@@ -93,12 +93,12 @@ def decoded(spark, **how):
 
 
 def test_skip_policy(spark):
-    assert decoded(spark) == [(None, None), (None, "m"), (1, "f"), (3, None)]
+    assert decoded(spark) == [(None, None), (None, None), (None, "m"), (1, "f"), (3, None)]
 
 
 def test_sentinel_policy(spark):
     rows = decoded(spark, policy="sentinel", sentinel={"uid": 0, "sex": ""})
-    assert rows.count((0, "")) == 4 and len(rows) == 8
+    assert rows.count((0, "")) == 5 and len(rows) == 10
 
 
 def test_fail_policy(spark):

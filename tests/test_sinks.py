@@ -174,6 +174,9 @@ def test_statements_of_the_dialects():
     assert db.upsert_statement("t", "s0", ["id"], columns, dialect="upsert_into") == (
         "UPSERT INTO t (id, price, cnt) SELECT id, price, cnt FROM s0"
     )
+    assert db.upsert_statement("t", "s0", ["id"], ["id"], dialect="duplicate_key").endswith("ON DUPLICATE KEY UPDATE id = t.id")
+    with pytest.raises(ValueError):
+        db.DatabaseUpsert(Database("jdbc:x"), "t", ["id"])
     with pytest.raises(ValueError):
         db.upsert_statement("t", "s0", ["id"], columns, ["cnt"], "upsert_into")
     with pytest.raises(ValueError):
@@ -198,6 +201,9 @@ def test_ledger_goes_with_the_change():
     assert asked.endswith("WHERE query_id = 'q1' AND batch_id = 4")
     assert statements[0].startswith("MERGE INTO t t USING t_staging s")
     assert statements[1] == "INSERT INTO pulseboard_ledger (query_id, batch_id) VALUES ('q1', 4)"
+    other = db.DatabaseUpsert(Database("jdbc:x"), "t", ["id"], order=["cnt"], dialect="upsert_into", query="q2")
+    assert other.statements("s", ["id"], 4)[1][1] == "UPSERT INTO pulseboard_ledger (query_id, batch_id) VALUES ('q2', 4)"
+    assert sink.staging() != other.staging()
 
 
 def test_fold_of_a_batch(spark):

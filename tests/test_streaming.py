@@ -144,6 +144,16 @@ def test_sequences_across_many_small_batches(spark, folder, feed):
     assert rowset(want) and rowset(sequences(spark, feed)) == rowset(want)
 
 
+def test_late_starts_and_ends_are_kept_apart(spark, folder, feed):
+    rows = events(spark, folder).where("event_id < 200")
+    feed.add(rows.where("event_id >= 100"))
+    feed.add(rows.where("event_id < 100"))
+    sequences(spark, feed)
+    late = spark.read.parquet(feed.path("cep") + "/late")
+    want = as_behaviour(rows.where("event_id < 100")).where(f"({dq.SEQUENCE_START}) or ({dq.SEQUENCE_END})")
+    assert want.count() > 0 and rowset(late.select("event_id")) == rowset(want.select("event_id"))
+
+
 def test_sequences_of_disordered_rows(spark, folder, feed):
     """Rows swapped between neighbouring files are put in order while the watermark waits."""
     rows = events(spark, folder).where("event_id < 200")
