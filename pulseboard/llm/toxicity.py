@@ -29,7 +29,7 @@ DECAY = np.float32(0.6)
 WIDTH = 20  # characters of a compared string; longer words are compared in overlapping stretches, all of them
 QUIET = 0.35  # kernel values below count as nothing in common
 LANDMARKS = 96
-TRAIN_DOCS = 4_000
+TRAIN_DOCS = 3_000
 TRAIN_CHARS = 40_000
 KEPT_WORDS = 400_000
 SUMMARY = 7
@@ -225,7 +225,7 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
         return flat
     marks = Landmarks(chosen)
     scorer = Scorer(Model(marks, np.ones(len(chosen)), np.zeros(SUMMARY)))
-    scorer.summaries([t for t, _ in rows])
+    _in_slices(scorer, rows)
     bags = [(scorer.sentences(t), y) for t, y in rows]
     matrix = marks.compare(chosen).astype(float)
     values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
@@ -244,10 +244,15 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
         weights = root @ _svm(x, y, np.concatenate([weight0, np.ones(len(best))]))
     model = Model(marks, weights, np.zeros(SUMMARY))
     scorer.decide(model)
-    model.curve = _logistic(scorer.summaries([t for t, _ in rows]), np.array([y for _, y in rows]))
+    model.curve = _logistic(_in_slices(scorer, rows), np.array([y for _, y in rows]))
     return model
 
 
+def _in_slices(scorer: Scorer, rows: list[tuple[str, int]], size: int = 50) -> np.ndarray:
+    """Summaries of all rows; words of few texts are held at a time."""
+    return np.concatenate([scorer.summaries([t for t, _ in rows[at:at + size]]) for at in range(0, len(rows), size)])
+
+
 def _choose(toxic: list[str], clean: list[str], most: int) -> list[str]:
     """Words that mark toxic documents, the clearest first; none that is nearly another one."""
     def found(group: list[str]) -> Counter:
