@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +23,8 @@ from pyspark.sql.window import Window
 from pulseboard.session import stage
 
 SCALE = 64
+#: Bytes of candidate vectors that a task holds, on average.
+GROUP_BYTES = 64_000_000
 
 
 def usable(vector: Column) -> Column:
@@ -103,15 +106,17 @@ def _packed(dim: int, part: pd.DataFrame) -> dict:
 
 
 def candidate_blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """(dim, ids, data): vectors as packed blocks of at most ``rows``, made in the tasks without a shuffle."""
+    """(block, dim, ids, data): vectors as packed blocks of at most ``rows``, numbered and made in the tasks without a shuffle."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = TaskContext.get().partitionId() << 32
         for frame in frames:
             for dim, own in frame.groupby("dim", sort=True):
                 for at in range(0, len(own), rows):
-                    yield pd.DataFrame(_packed(int(dim), own.iloc[at:at + rows]))
+                    yield pd.DataFrame({"block": [block]} | _packed(int(dim), own.iloc[at:at + rows]))
+                    block += 1
 
-    return vectors.mapInPandas(pack, "dim int, ids binary, data binary")
+    return vectors.mapInPandas(pack, "block long, dim int, ids binary, data binary")
 
 
 def query_blocks(queries: DataFrame, count: int) -> DataFrame:
@@ -131,6 +136,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     Components are taken as floor(64 x). Vectors that are null, empty, or hold null or non-finite components, and rows
     without an id, take no part. Vectors of different length are not compared. A query is not compared with rows of its own id;
     queries repeated under one id are one, with the smallest of their vectors. Fewer than ``k`` candidates are all given; an empty table gives no rows.
+    The number of candidate groups, if not given, grows with the candidates, so that a group stays at about ``GROUP_BYTES``.
     """
     spark = vectors.sparkSession
     whole = (vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
@@ -141,10 +147,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     asked = whole.where("q").groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     asked = stage(asked, "queries")
     count = -(-asked.count() // query_rows) or 1
-    groups = groups or max(1, spark.sparkContext.defaultParallelism)
+    held = candidates.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
+    groups = groups or max(spark.sparkContext.defaultParallelism, -(-held // GROUP_BYTES))
     asks = (query_blocks(asked, count).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
             .withColumn("ask", F.lit(True)))
-    own = (candidates.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+    own = (candidates.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")).drop("block")
            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn("ask", F.lit(False)))
 
     def best_of(frame: pd.DataFrame) -> pd.DataFrame:
