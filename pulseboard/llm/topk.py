@@ -25,6 +25,8 @@ from pulseboard.session import stage
 SCALE = 64
 #: Bytes of candidate vectors that a task holds, on average.
 GROUP_BYTES = 64_000_000
+#: Candidates that are compared at once, and below which share of pairs left they are taken one by one.
+FIRST_TILE, TILE, FEW = 64, 1_024, 0.03
 
 
 def usable(vector: Column) -> Column:
@@ -61,6 +63,8 @@ class Best:
         self.floor = np.full(queries, -np.inf)
 
     def add(self, query: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
+        if not len(query):
+            return
         order = np.lexsort((vec, -score, query))
         query, score, vec = query[order], score[order], vec[order]
         found, first = np.unique(query, return_index=True)
@@ -73,30 +77,49 @@ class Best:
                 self.floor[q] = -self.rows[q][-1][0]
 
 
+def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``a[i]`` and ``b[j]``, some at a time."""
+    out = np.empty(len(i))
+    for cut in range(0, len(i), 50_000):
+        part = slice(cut, cut + 50_000)
+        out[part] = np.einsum("ij,ij->i", a[i[part]], b[j[part]])
+    return out
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, best: Best) -> int:
     """Take the vectors of one candidate block into ``best``; returns how many exact scores were needed."""
     exact = 0
     levels = resolutions(queries.shape[1])
     ours = [profile(queries, s) for s in levels]
-    # Long vectors first raise the floors early.
+    # Long vectors first raise the floors early; the first tile is small, as nothing can be dropped before the floors stand.
     order = np.argsort(-np.einsum("ij,ij->i", vectors, vectors), kind="stable")
-    for at in range(0, len(order), 2_048):
-        part = order[at:at + 2_048]
-        theirs = [profile(vectors[part], s) for s in levels]
+    starts = [0, *range(FIRST_TILE, len(order), TILE)]
+    for at, end in zip(starts, [*starts[1:], len(order)], strict=True):
+        part = order[at:end]
         floor = best.floor - 1e-6 * (1 + np.abs(np.where(np.isfinite(best.floor), best.floor, 0)))
-        bound = ours[0] @ theirs[0].T
-        q, c = np.nonzero((bound >= floor[:, None]) & (query_ids[:, None] != ids[part][None, :]))
-        for mine, their in zip(ours[1:], theirs[1:], strict=True):
-            keep = np.zeros(len(q), bool)
-            for cut in range(0, len(q), 200_000):
-                a, b = q[cut:cut + 200_000], c[cut:cut + 200_000]
-                keep[cut:cut + 200_000] = np.einsum("ij,ij->i", mine[a], their[b]) >= floor[a]
-            q, c = q[keep], c[keep]
-        for cut in range(0, len(q), 200_000):
-            a, b = q[cut:cut + 200_000], part[c[cut:cut + 200_000]]
-            score = np.rint(np.einsum("ij,ij->i", queries[a], vectors[b])).astype(np.int64)
-            exact += len(a)
-            best.add(a, score, ids[b])
+        alive = query_ids[:, None] != ids[part][None, :]
+        q = c = None
+        for mine, starts_of in zip(ours, levels, strict=True):
+            their = profile(vectors[part], starts_of)
+            if q is None:
+                alive &= mine @ their.T >= floor[:, None]
+                if np.count_nonzero(alive) < FEW * alive.size:
+                    q, c = np.nonzero(alive)
+            else:
+                keep = _products(mine, their, q, c) >= floor[q]
+                q, c = q[keep], c[keep]
+        # Survivors: pair by pair where few are left, else from one product of the tile.
+        if q is None:
+            exact += np.count_nonzero(alive)
+            table = queries @ vectors[part].T
+            q, c = np.nonzero(alive & (table >= floor[:, None]))
+            score = table[q, c]
+        else:
+            exact += len(q)
+            score = _products(queries, vectors[part], q, c)
+            keep = score >= floor[q]
+            q, c, score = q[keep], c[keep], score[keep]
+        best.add(q, np.rint(score).astype(np.int64), ids[part[c]])
     return exact
 
 
