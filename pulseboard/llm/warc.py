@@ -41,10 +41,11 @@ def classified(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                         F.coalesce(F.col(body_col), F.lit("")).alias("payload"))
     rows = (rows.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
             .withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256)))
-    # Only digests that several rows share are joined; the counts are combined before their shuffle.
+    # Only digests that several rows share are joined; the counts are combined before their shuffle. Their number grows
+    # with the pages, so they are never broadcast: small inputs take the same plan as large ones.
     shared = (rows.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy(F.col("payload_digest").alias("d"))
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null"))
-    return (rows.join(shared, rows["payload_digest"] == shared["d"], "left")
+    return (rows.join(shared.hint("merge"), rows["payload_digest"] == shared["d"], "left")
             .withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
             .drop("d", "first", "n"))
 
@@ -188,7 +189,7 @@ def read_records(spark: SparkSession, target: str, index: str, payload: bool = T
                 out = pd.DataFrame({f: pd.Series([r[f] for r in rows], dtype=object) for f in fields})
                 yield out
 
-    return files.join(wanted, "archive").select("content", "at").mapInPandas(cut, schema)
+    return files.join(wanted.hint("merge"), "archive").select("content", "at").mapInPandas(cut, schema)
 
 
 def round_trip(pages: DataFrame, payload: bool = False, folder: str | None = None) -> DataFrame:
