@@ -34,7 +34,9 @@ TRAIN_CHARS = 40_000
 KEPT_WORDS = 400_000
 SUMMARY = 7
 _LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
-_SENTENCE = re.compile(r"[.!?\n]+")
+_MARKS = re.compile(r"[.!?]+")
+_SENTENCE = re.compile(r"[.!?]+(?=\s|\Z)|\n+")
+_INNER = re.compile(r"(?<=[^\s.!?])[.!?]+(?=[^\s.!?])")
 
 
 def unit(word: str) -> str:
@@ -58,6 +60,21 @@ def joined(words: list[str]) -> list[str]:
     return out
 
 
+def read(text: str) -> tuple[list[str], list[tuple[str, list[str]]]]:
+    """Words of a text in lower case, cut at every sentence mark; and the words that have such a mark inside, each with the words it
+    was cut into, as 'id!ot' may be one word and 'end.Start' two. Single characters between marks are left to ``joined``."""
+    words = joined(_MARKS.sub(" ", text).split())
+    if not _INNER.search(text):
+        return words, []
+    whole = []
+    for word in text.split():
+        if not word.isalnum() and _INNER.search(word):
+            cut = [p for p in _MARKS.split(word) if p]
+            if len(cut) < 3 or any(len(p) > 1 for p in cut):
+                whole.append((word, joined(cut)))
+    return words, whole
+
+
 def _grid(strings: list[str], pad: int) -> np.ndarray:
     width = max(1, max((len(s) for s in strings), default=1))
     codes = np.array(strings, dtype=f"U{width}").view(np.uint32).reshape(len(strings), width)
@@ -104,12 +121,13 @@ class Landmarks:
     def __post_init__(self) -> None:
         self.codes = _grid(self.strings, 1)
         self.letters = _letters(self.codes, 1)
-        self.needed = np.maximum(4, np.ceil(np.bitwise_count(self.letters) * 0.66)).astype(np.uint8)
+        own = np.bitwise_count(self.letters)
+        self.needed = np.minimum(own, np.maximum(4, np.ceil(own * 0.66))).astype(np.uint8)
         self.own = _raw_kernel(np.where(self.codes == 1, np.uint32(2), self.codes), self.codes)
 
     def compare(self, strings: list[str]) -> np.ndarray:
         """Normalised kernel of each string with each landmark; 0 below ``QUIET``, and with less than two thirds of the landmark's
-        different characters (four at least) in the string."""
+        different characters (four at least, or all if it has fewer) in the string."""
         out = np.zeros((len(strings), len(self.strings)), np.float32)
         order = sorted(range(len(strings)), key=lambda k: len(strings[k]))
         for at in range(0, len(order), 4_000):
@@ -190,22 +208,34 @@ class Scorer:
         """Kernel values of the sentences that have a word near a landmark."""
         rows = []
         for sentence in _SENTENCE.split(text.lower()):
-            near = [self.loud[w] for w in joined(sentence.split()) if w in self.loud]
+            words, whole = read(sentence)
+            near = [self.loud[w] for w in (*words, *(w for w, _ in whole)) if w in self.loud]
             if near:
                 rows.append(np.maximum.reduce(near))
         return np.array(rows, np.float32)
 
     def summaries(self, batch: list[str]) -> np.ndarray:
-        """One row per text: a constant, the three highest decisions on its words, their sum, and the sum by length."""
-        lists = [joined(_SENTENCE.sub(" ", t.lower()).split()) for t in batch]
-        sets = [set(words) for words in lists]
+        """One row per text: a constant, the three highest decisions on its words, their sum, and the sum by length.
+
+        A word with marks inside counts as a whole where it decides more than the words between the marks do.
+        """
+        lists = [read(t.lower()) for t in batch]
+        sets = [{*words, *(w for w, _ in whole)} for words, whole in lists]
         self.learn(set().union(*sets))
         out = np.zeros((len(batch), SUMMARY))
         out[:, 0] = 1
-        for row, (words, own) in enumerate(zip(lists, sets, strict=True)):
+        for row, ((words, whole), own) in enumerate(zip(lists, sets, strict=True)):
             if self.marked.keys().isdisjoint(own):
                 continue
-            found = sorted((self.marked[w] for w in words if w in self.marked), reverse=True)
+            found = [self.marked[w] for w in words if w in self.marked]
+            for word, cut in whole:
+                parts = [self.marked[w] for w in cut if w in self.marked]
+                if self.marked.get(word, 0.0) > sum(parts):
+                    for d in parts:
+                        if d in found:
+                            found.remove(d)
+                    found.append(self.marked[word])
+            found.sort(reverse=True)
             total = sum(found)
             best = (found + [0.0, 0.0])[:3]
             out[row, 1:] = [*best, math.log1p(total), total / math.sqrt(len(words)), math.log1p(100 * total / len(words))]
@@ -256,7 +286,11 @@ def _in_slices(scorer: Scorer, rows: list[tuple[str, int]], size: int = 50) -> n
 def _choose(toxic: list[str], clean: list[str], most: int) -> list[str]:
     """Words that mark toxic documents, the clearest first; none that is nearly another one."""
     def found(group: list[str]) -> Counter:
-        return Counter(u for t in group for u in {unit(w) for w in joined(_SENTENCE.sub(" ", t.lower()).split())} if 4 <= len(u) <= WIDTH)
+        return Counter(u for t in group for u in units(t) if 4 <= len(u) <= WIDTH)
+
+    def units(text: str) -> set[str]:
+        words, whole = read(text.lower())
+        return {unit(w) for w in (*words, *(w for w, _ in whole))}
 
     with_word, without = found(toxic), found(clean)
     ratio = {w: math.log((n + 0.1) / len(toxic)) - math.log((without[w] + 0.5) / len(clean)) for w, n in with_word.items() if n >= 2}

@@ -251,6 +251,22 @@ def test_gapped_words_stay_near():
     assert near[0] > 0.99 and near[1] > 0.99 and near[2] > 0.5 and near[3] > 0.5 and near[4] > 0.99 and near[5] == near[6] == 0
 
 
+def test_sentence_marks_inside_words():
+    marks = toxicity.Landmarks([toxicity.unit(w) for w in ("idiot", "stupid", "scum", "ass", "zz")])
+    model = toxicity.Model(marks, np.ones(5), np.zeros(toxicity.SUMMARY))
+    best = lambda text: toxicity.Scorer(model).summaries([text])[0][1:4]
+    for plain, hidden in (("idiot", "id!ot"), ("stupid", "stu.pid"), ("scum", "sc.um"), ("idiot", "i.d i.o.t")):
+        assert best(f"you {hidden} there. Go")[0] >= 0.99 * best(f"you {plain} there. Go")[0] > 0
+    for short in ("ass", "zz"):
+        assert best(f"you {short}!")[0] > 0.9
+    # A missing space still ends a word, and no word counts twice.
+    assert list(best("you idiot.Scum there")) == list(best("you idiot. Scum there"))
+    assert list(best("an id!ot"))[1:] == [0, 0]
+    assert not best("see www.meadow.example at 3.14 or 10.30")[0]
+    rows = [("what a stu.pid rule", 1)] * 5 + [("what a fine rule", 0)] * 20
+    assert "^^stupid" in toxicity.train(rows).landmarks.strings
+
+
 def test_topk_equals_plain_search(spark):
     rng = np.random.default_rng(5)
     rows = [(k, [float(v) for v in rng.normal(size=10)]) for k in range(400)]
