@@ -15,6 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,10 @@ STEPS = 220
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>?|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-#: Fixed values of the markup language: elements without an end tag, those whose content is no text, and block elements.
+#: Fixed values of the markup language: elements without an end tag, those whose content is no text, and block elements. ``head`` is
+#: none of them: its end tag is optional, and what may stand in it has no text of its own.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_NO_TEXT = frozenset("script style noscript template head title textarea select svg iframe object".split())
+_NO_TEXT = frozenset("script style noscript template title textarea select svg iframe object".split())
 _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol optgroup option p pre section summary table tbody td "
@@ -43,6 +45,10 @@ _BLOCK = frozenset(
 _ENDS = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
          **{b: ("p",) for b in ("div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "form", "blockquote", "pre")}}
 _WALLS = frozenset("table ul ol dl div section article body nav aside footer header form main".split())
+#: Elements that run to their end tag or the end of the page, and those with plain text (no comments or scripts) up to their end tag.
+_TO_THE_END = frozenset("script style".split())
+_PLAIN_TEXT = frozenset("title textarea iframe".split())
+_OPTIONS = frozenset("option optgroup".split())
 _LEFT_OUT = frozenset("nav footer aside form button menu dialog label fieldset".split())
 _OUT_WORDS = re.compile(r"\b(?:ad|ads|advert\w*|banner|cookie\w*|consent|notice|comments?|respond|sidebar|menu|nav\w*|promo\w*|share|sharing|"
                         r"social|related|subscribe|newsletter|breadcrumbs?|footer|widget|popup|modal)\b")
@@ -62,13 +68,43 @@ class Block:
     label: int = -1
 
 
+@cache
+def _end_tag(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I)
+
+
+@cache
+def _own_tags(name: str) -> re.Pattern:
+    """Tags of that name; comments, scripts and styles are passed over where they can stand in the element."""
+    other = "" if name in _PLAIN_TEXT else r"<!--.*?(?:-->|\Z)|<(?:script|style)(?=[\s/>]).*?(?:</(?:script|style)(?=[\s/>])|\Z)|"
+    return re.compile(rf"{other}<(/?)(?P<own>{name})(?=[\s/>])((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.I | re.S)
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where each element of that name ends, by the end of its start tag. An end tag belongs to the last start tag still open."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    for tag in _own_tags(name).finditer(page):
+        if not tag["own"]:
+            continue
+        if not tag[1]:
+            if not tag[3].endswith("/"):
+                opened.append(tag.end())
+        elif opened:
+            out[opened.pop()] = tag.end()
+    return out
+
+
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page: references decoded, white space as one space. Broken markup is read as far as it goes."""
+    """Text blocks of a page: references decoded, white space as one space. Broken markup is read as far as it goes: an element
+    without text whose end tag is missing ends at the next border of a block (a script or style at the page's end)."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     link, linked, at, n = 0, 0, 0, len(page)
     path: tuple[tuple[str, str], ...] | None = None
+    ends: dict[str, dict[int, int]] = {}
+    unclosed = ""
 
     def close() -> None:
         nonlocal parts, linked, path
@@ -81,7 +117,7 @@ def blocks(page: str) -> list[Block]:
         sign = page.find("<", at)
         if sign < 0:
             sign = n
-        if sign > at:
+        if sign > at and not unclosed:
             piece = page[at:sign]
             parts.append(piece)
             if path is None and not piece.isspace():
@@ -92,14 +128,19 @@ def blocks(page: str) -> list[Block]:
             break
         found = _TAG.match(page, sign)
         if not found:
-            parts.append("<")
-            path = tuple(stack) if path is None else path
+            if not unclosed:
+                parts.append("<")
+                path = tuple(stack) if path is None else path
             at = sign + 1
             continue
         at = found.end()
         if not found[2]:
             continue
         name = found[2].lower()
+        if unclosed and (name in (unclosed, "head") or name in _BLOCK and not (unclosed == "select" and name in _OPTIONS)):
+            unclosed = ""
+        if unclosed and name not in _NO_TEXT:
+            continue
         if found[1]:
             if name == "a":
                 link = max(0, link - 1)
@@ -112,8 +153,16 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in _NO_TEXT:
             if not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}[^>]*+>", re.I).search(page, at)
-                at = end.end() if end else n
+                if name in _TO_THE_END:
+                    end = _end_tag(name).search(page, at)
+                    at = end.end() if end else n
+                else:
+                    if name not in ends:
+                        ends[name] = _ends(page, name)
+                    if at in ends[name]:
+                        at = ends[name][at]
+                    else:
+                        unclosed = name
             continue
         if name == "a":
             link += 1

@@ -140,6 +140,26 @@ def test_blocks_end_where_elements_do():
     assert [b.text for b in html_text.blocks(page)] == ["one", "two", "a b c & d", "e f"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>x</title><meta charset=utf-8><body><article><h1>a</h1><p>b</article></html>", ["a", "b"]),
+    ("<head><title>x</title><header>top</header><p>a</p>", ["top", "a"]),
+    ("<head><title>x<link rel=y><script>'<p>'</script></head><body><p>a<p>b", ["a", "b"]),
+    ("<title>x<body><p>a</p><svg><title>icon</title></svg><p>b", ["a", "b"]),
+    *[(f"<p>a</p><{n} id=k>no<i>no</i><p>b</p><p>c <{n}>no</{n}>d</p>", ["a", "b", "c d"])
+      for n in ("title", "noscript", "template", "textarea", "select", "svg", "iframe", "object")],
+    ("<p>a<select><option>no<option>no</p><p>b", ["a", "b"]),
+    ("<p>a<object><object>no<p>no</p></object><p>no</object>b<svg><!-- <svg> --><div>no</div></svg>c", ["abc"]),
+    ("<p>a<script>no</scripts>no<p>no</script >b<style>no", ["ab"]),
+])
+def test_elements_without_end_tag_do_not_end_the_page(page, want):
+    assert [b.text for b in html_text.blocks(page)] == want
+
+
+def test_many_open_elements_are_read_in_one_pass():
+    page = "<svg><p>a</p>" * 20_000
+    assert len(html_text.blocks(page)) == 20_000
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(3)
     one = html_text._fresh(rng).forward
