@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import bpe, decontaminate, html_text, pii, quality, simhash, suffix_dedup, topk, toxicity, warc
+from pulseboard.llm import alignment, bpe, decontaminate, html_text, pii, quality, simhash, suffix_dedup, topk, toxicity, warc
 from pulseboard.plans.registry import Query
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -121,6 +121,17 @@ def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, folder, "documents"), vocabularies())
+
+
+def vocabularies() -> alignment.Vocabularies:
+    """The files of two public tokenizers."""
+    import public_tokenizers
+
+    return alignment.read_vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {q.name: q for q in (
     Query("op1_decontamination", decontamination, DECONTAMINATION_SQL),
     Query("op2_suffix_array_dedup", suffix_array_dedup, SUFFIX_DEDUP_SQL),
@@ -132,4 +143,5 @@ QUERIES: dict[str, Query] = {q.name: q for q in (
     Query("op8_exact_topk", exact_topk, TOPK_SQL),
     Query("op9_toxicity", toxicity_kernel, None),
     Query("op10_simhash_near_duplicates", simhash_near_duplicates, None),
+    Query("op11_cross_tokenizer_alignment", cross_tokenizer_alignment, None),
 )}
