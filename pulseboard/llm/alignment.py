@@ -38,9 +38,11 @@ from pulseboard.session import stage
 #: Bytes of a document's chunk, documents above it are reduced as a tree of chunks.
 CHUNK = 1 << 16
 #: Bytes of text whose pairs are counted together.
-PIECE = 1 << 24
+PIECE = 1 << 22
 #: Fragments composed by one group of the tree.
 FAN = 16
+#: Words that are tokenized as one text.
+RUN = 256
 #: Words, and bytes of words, that a worker remembers from one batch to the next.
 KNOWN_WORDS, KNOWN_BYTES = 300_000, 1 << 24
 
@@ -86,6 +88,21 @@ class Aligned(NamedTuple):
     pairs: np.ndarray
 
 
+class Facts(NamedTuple):
+    """What is known of stretches: whether they come back, their four counts, their groups as text, and the pairs of all their links on end."""
+
+    whole: np.ndarray
+    counts: np.ndarray
+    text: np.ndarray
+    pairs: np.ndarray
+
+    def of(self, places: np.ndarray) -> Facts:
+        n = self.counts[3]
+        start, here = np.cumsum(n) - n, n[places]
+        at = np.repeat(start[places], here) + np.arange(here.sum()) - np.repeat(np.cumsum(here) - here, here)
+        return Facts(self.whole[places], self.counts[:, places], self.text[places], self.pairs[at])
+
+
 class Aligner:
     """Both tokenizers of a worker process, and the words it has met."""
 
@@ -133,22 +150,47 @@ class Aligner:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.table: list[tuple] = []
         self.held = 0
+        self.learned: list[Facts] = []
 
     def stretches(self, text: str) -> list[str]:
         """The stretches of ``text`` between single spaces inside it; each is read with a space before it."""
         return _CUT.split(text) if self.splits else [text]
 
-    def tokens(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """Ids of each word after a space by both tokenizers, and whether both hold exactly its bytes."""
-        a = [e.ids for e in self.first.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        b = self.second.encode(words, num_threads=1)
-        whole = []
-        for word, x, y in zip(words, a, b, strict=True):
-            raw = b" " + word.encode()
-            whole.append(b"".join(map(self.bytes_a.__getitem__, x)) == raw and b"".join(map(self.bytes_b.__getitem__, y)) == raw)
-        return a, b, whole
+    def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words, each after a space, by both tokenizers on end; their bytes; whether both hold exactly these bytes.
+
+        A word that one of them does not give back has no ids and no bytes.
+        """
+        # Words that begin and end visibly are read as one text: a space between them is a boundary.
+        plain = [self.splits and bool(w) and not (w[0].isspace() or w[-1].isspace()) for w in words]
+        runs, start = [], 0
+        for k in range(1, len(words) + 1):
+            if k == len(words) or k - start == RUN or not (plain[k] and plain[k - 1]):
+                runs.append((start, k))
+                start = k
+        a, b, whole = [], [], np.ones(len(words), bool)
+        first = self.first.encode_batch_fast([" " + " ".join(words[s:e]) for s, e in runs], add_special_tokens=False)
+        second = self.second.encode([" ".join(words[s:e]) for s, e in runs], num_threads=1)
+        for (s, e), x, y in zip(runs, first, second, strict=True):
+            ids, raw = x.ids, (" " + " ".join(words[s:e])).encode()
+            if self._gives(self.bytes_a, ids, raw) and self._gives(self.bytes_b, y, raw):
+                a.append(ids)
+                b.append(y)
+            elif e - s == 1:
+                whole[s] = False
+            else:
+                for k in range(s, e):
+                    own_a, own_b, _, own = self.tokens(words[k:k + 1])
+                    a.append(own_a.tolist())
+                    b.append(own_b.tolist())
+                    whole[k] = own[0]
+        size = np.fromiter((1 + len(w.encode()) for w in words), np.int64, len(words)) * whole
+        return np.fromiter(chain.from_iterable(a), np.int64), np.fromiter(chain.from_iterable(b), np.int64), size, whole
+
+    @staticmethod
+    def _gives(table: list[bytes], ids: list[int], raw: bytes) -> bool:
+        return b"".join(map(table.__getitem__, ids)) == raw
 
     def align(self, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, stops: np.ndarray) -> Aligned:
         """Groups and links of closed units that lie on end and stop at the bytes ``stops`` (counted from 0)."""
@@ -180,33 +222,30 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Tokenize and align words that are not known yet."""
-        a, b, whole = self.tokens(words)
-        # A word that does not come back as its bytes has no tokens.
-        a = [x if w else [] for x, w in zip(a, whole, strict=True)]
-        b = [x if w else [] for x, w in zip(b, whole, strict=True)]
-        flat_a = np.fromiter(chain.from_iterable(a), np.int64)
-        flat_b = np.fromiter(chain.from_iterable(b), np.int64)
-        a_end, b_end = np.cumsum(self.len_a[flat_a]), np.cumsum(self.len_b[flat_b])
-        size = np.fromiter((1 + len(w.encode()) if ok else 0 for w, ok in zip(words, whole, strict=True)), np.int64, len(words))
-        got = self.align(flat_a, a_end, flat_b, b_end, np.cumsum(size))
-        at = np.concatenate([[0], np.cumsum(got.n_links)]).tolist()
-        numbers = zip(got.n_a.tolist(), got.n_b.tolist(), got.n_groups.tolist(), got.n_links.tolist(), strict=True)
-        first = len(self.table)
-        self.table += [(ok, *n, text, got.pairs[s:e])
-                       for ok, n, text, s, e in zip(whole, numbers, got.text, at[:-1], at[1:], strict=True)]
+        a, b, size, whole = self.tokens(words)
+        got = self.align(a, np.cumsum(self.len_a[a]), b, np.cumsum(self.len_b[b]), np.cumsum(size))
+        first = len(self.known)
+        self.learned.append(Facts(whole, np.stack([got.n_a, got.n_b, got.n_groups, got.n_links]), np.array(got.text, object), got.pairs))
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.held += sum(map(len, words))
 
     def look_up(self, words: list[str]) -> np.ndarray:
-        """The place of each word's facts in the table."""
+        """The place of each word among the known ones."""
         new = list({w: None for w in words if w not in self.known})
         if new:
-            self.held += sum(map(len, new))
             self.learn(new)
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def facts(self) -> Facts:
+        """The facts of all known words."""
+        if len(self.learned) != 1:
+            parts = list(zip(*self.learned, strict=True)) or [[np.zeros(0, bool)], [np.zeros((4, 0), np.int64)], [np.zeros(0, object)], [np.zeros(0, np.int64)]]
+            self.learned = [Facts(*(np.concatenate(p, axis=-1) for p in parts))]
+        return self.learned[0]
+
     def trim(self) -> None:
         """Forget all words if they have become too many."""
-        if len(self.table) > KNOWN_WORDS or self.held > KNOWN_BYTES:
+        if len(self.known) > KNOWN_WORDS or self.held > KNOWN_BYTES:
             self.forget()
 
 
@@ -222,7 +261,7 @@ class _Piece(NamedTuple):
     row: list
     pos: list
     doc_id: list
-    facts: list[tuple]
+    facts: Facts
     words: np.ndarray
     word_at: np.ndarray
     hashed: bool
@@ -230,15 +269,14 @@ class _Piece(NamedTuple):
 
 def _batch_row(number: int, p: _Piece) -> dict[str, list]:
     """One row with the units of a piece, their stretches, the stretches' links and the distinct pairs."""
-    n = [np.array([f[k] for f in p.facts], np.int64) for k in range(1, 5)]
-    link_at = np.concatenate([[0], np.cumsum(n[3])])
-    pairs = np.concatenate([f[6] for f in p.facts]) if p.facts else np.zeros(0, np.int64)
-    often = np.bincount(p.words, minlength=len(p.facts))
-    keys, links = np.unique(pairs, return_inverse=True)
-    key_n = np.bincount(links, weights=np.repeat(often, n[3]), minlength=len(keys)).astype(np.int64)
-    counts = [_per_text(x[p.words], p.word_at) for x in n]
-    bodies = [b";".join(p.facts[w][5] for w in p.words[s:e].tolist())
-              for s, e in zip(p.word_at[:-1].tolist(), p.word_at[1:].tolist(), strict=True)]
+    n_links = p.facts.counts[3]
+    link_at = np.concatenate([[0], np.cumsum(n_links)])
+    often = np.bincount(p.words, minlength=len(n_links))
+    keys, links = np.unique(p.facts.pairs, return_inverse=True)
+    key_n = np.bincount(links, weights=np.repeat(often, n_links), minlength=len(keys)).astype(np.int64)
+    counts = [_per_text(x[p.words], p.word_at) for x in p.facts.counts]
+    text = p.facts.text[p.words].tolist()
+    bodies = [b";".join(text[s:e]) for s, e in zip(p.word_at[:-1].tolist(), p.word_at[1:].tolist(), strict=True)]
     values = {
         "batch": number, "row": p.row, "pos": p.pos, "doc_id": p.doc_id,
         "n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "n_links": counts[3],
@@ -258,7 +296,13 @@ def _arrow(schema: str, columns: dict[str, list]) -> pa.RecordBatch:
         inner = kind.removeprefix("array<").removesuffix(">")
         what = pa.list_(types[inner]) if kind != inner else types[kind]
         names.append(name)
-        arrays.append(pa.array(columns[name], what) if name in columns else pa.nulls(rows, what))
+        given = columns.get(name)
+        if given is None:
+            arrays.append(pa.nulls(rows, what))
+        elif kind != inner and len(given) == 1 and isinstance(given[0], np.ndarray):
+            arrays.append(pa.ListArray.from_arrays(pa.array([0, len(given[0])], pa.int32()), pa.array(given[0]).cast(types[inner])))
+        else:
+            arrays.append(pa.array(given, what))
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
@@ -290,37 +334,39 @@ def _tokenized(files: Vocabularies, chunk: int, piece: int):
         tool, number = Aligner.of(files), _numbers(TaskContext.get().partitionId())
 
         def flush() -> pa.RecordBatch:
-            distinct, numbers = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_inverse=True)
-            facts = [tool.table[i] for i in distinct.tolist()]
-            at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            places = np.concatenate(found)
             # A text with a stretch that does not come back has no tokens at all.
-            lost = np.array([not f[0] for f in facts], np.int64)
-            keep = np.repeat(_per_text(lost[numbers], at) == 0, sizes)
-            bounds = np.concatenate([[0], np.cumsum(keep)])[at]
-            used, numbers = np.unique(numbers[keep], return_inverse=True)
-            facts = [facts[i] for i in used.tolist()]
-            rows = [next(number) for _ in ids]
-            out = _batch_row(next(number), _Piece(rows, [0] * len(ids), ids, facts, numbers, bounds, True))
+            keep = np.repeat(_per_text(~tool.facts().whole[places], bounds(sizes)) == 0, sizes)
+            distinct, numbers = np.unique(places[keep], return_inverse=True)
+            at = np.concatenate([[0], np.cumsum(keep)])[bounds(sizes)]
+            out = _batch_row(next(number), _Piece([next(number) for _ in ids], [0] * len(ids), ids, tool.facts().of(distinct), numbers, at, True))
             tool.trim()
             return _arrow(schema, out)
 
+        def bounds(sizes: list[int]) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
         ids, found, sizes, held = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = tool.stretches(text) if text else []
-                places = tool.look_up(words)
+            texts = batch.column(1).to_pylist()
+            words = [tool.stretches(t) if t else [] for t in texts]
+            places = tool.look_up(list(chain.from_iterable(words)))
+            at = bounds(list(map(len, words)))
+            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), texts, strict=True)):
+                own = places[at[k]:at[k + 1]]
                 if text and len(text.encode()) >= chunk:
-                    if all(tool.table[k][0] for k in set(places.tolist())):
-                        yield from _long(schema, next(number), doc_id, words, tool, chunk)
+                    if tool.facts().whole[own].all():
+                        yield from _long(schema, next(number), doc_id, words[k], tool, chunk)
                         continue
-                    places = places[:0]
+                    own = own[:0]
                 ids.append(doc_id)
-                found.append(places)
-                sizes.append(len(places))
+                found.append(own)
+                sizes.append(len(own))
                 held += len(text or "")
-                if held >= piece or len(ids) >= piece // 64:
-                    yield flush()
-                    ids, found, sizes, held = [], [], [], 0
+            # The places hold until words are forgotten, so a piece ends with a batch.
+            if held >= piece and ids:
+                yield flush()
+                ids, found, sizes, held = [], [], [], 0
         if ids:
             yield flush()
 
@@ -329,10 +375,8 @@ def _tokenized(files: Vocabularies, chunk: int, piece: int):
 
 def _long(schema: str, row: int, doc_id: int | None, words: list[str], tool: Aligner, chunk: int) -> Iterator[pa.RecordBatch]:
     """The chunk rows of a long document."""
-    a, b, _ = tool.tokens(words)
-    flat_a = np.fromiter(chain.from_iterable(a), np.int64)
-    flat_b = np.fromiter(chain.from_iterable(b), np.int64)
-    rows = _chunks(row, doc_id, flat_a, flat_b, tool, chunk)
+    a, b, _, _ = tool.tokens(words)
+    rows = _chunks(row, doc_id, a, b, tool, chunk)
     rows["long_row"], rows["long_id"] = rows.pop("row"), rows.pop("doc_id")
     yield _arrow(schema, rows)
 
@@ -405,9 +449,7 @@ def _units(tool: Aligner, number: int, rows: list[tuple[int, int, int | None, To
         stop.append(shift)
     flat = Tokens(*(np.concatenate(x) for x in zip(*parts, strict=True)))
     got = tool.align(*flat, np.array(stop))
-    at = np.concatenate([[0], np.cumsum(got.n_links)]).tolist()
-    facts = [(True, got.n_a[k], got.n_b[k], got.n_groups[k], got.n_links[k], got.text[k], got.pairs[at[k]:at[k + 1]])
-             for k in range(len(rows))]
+    facts = Facts(np.ones(len(rows), bool), np.stack([got.n_a, got.n_b, got.n_groups, got.n_links]), np.array(got.text, object), got.pairs)
     doc_row, pos, ids, _ = zip(*rows, strict=True)
     return _batch_row(number, _Piece(list(doc_row), list(pos), list(ids), facts, np.arange(len(rows)), np.arange(len(rows) + 1), False))
 
