@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import alignment, bpe, decontaminate, html_text, pii, quality, simhash, suffix_dedup, topk, toxicity, warc
+from pulseboard.llm import alignment, bpe, circulant, conversations, decontaminate, html_text, pii, quality, simhash, suffix_dedup, topk, toxicity, warc
 from pulseboard.plans.registry import Query
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -66,6 +66,65 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
 """
 
+#: crc32 by bits; one row per state and conversation goes through the rows by recursion, the least of the cheapest edits is kept.
+CONVERSATIONS_SQL = r"""
+WITH RECURSIVE original AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS mark FROM conversations),
+fated AS (
+    SELECT *, xor(list_reduce(
+        flatten(list_transform(range(octet_length(mark)), lambda i: [('0x' || hex(mark)[2 * i + 1:2 * i + 2])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT), 4294967295) % 20 AS fate
+    FROM original),
+copied AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fated),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown FROM copied),
+judged AS (
+    SELECT *, left(role, 1) AS sign, CASE WHEN shown = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+inserts(p, k, state, lead) AS (
+    VALUES (0, 0, 0, ''), (1, 0, 1, ''), (2, 0, 2, ''), (3, 0, 3, ''),
+           (0, 1, 2, chr(10) || 'user:'), (1, 1, 2, chr(10) || 'user:'), (2, 1, 3, chr(10) || 'assistant:'), (3, 1, 2, chr(10) || 'user:'),
+           (0, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'),
+           (2, 2, 2, chr(10) || 'assistant:' || chr(10) || 'user:'), (3, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits(state, edit, sign, q, cost, role) AS (
+    VALUES (0, 'D', NULL, 0, 3, NULL), (1, 'D', NULL, 1, 3, NULL), (2, 'D', NULL, 2, 3, NULL), (3, 'D', NULL, 3, 3, NULL),
+           (0, 'R', NULL, 2, 2, 'user'), (1, 'R', NULL, 2, 2, 'user'), (2, 'R', NULL, 3, 2, 'assistant'), (3, 'R', NULL, 2, 2, 'user'),
+           (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL), (3, 'K', 'u', 2, 0, NULL)),
+ways AS (
+    SELECT p, q, edit, sign, role, lead, 2 * k + cost AS cost, repeat('I', k) || edit AS audit FROM inserts JOIN edits USING (state)),
+solved AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS body FROM conversations
+    UNION ALL
+    SELECT conv_id, i, state, cost, audit, body FROM (
+        SELECT s.conv_id, r.i, w.q AS state, s.cost + w.cost + (r.fault = 'truncated' AND w.edit <> 'D')::INT AS cost, s.audit || w.audit AS audit,
+               s.body || w.lead || CASE w.edit WHEN 'D' THEN '' ELSE chr(10) || coalesce(w.role, r.role) || ':' || r.text END AS body
+        FROM solved s JOIN judged r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1
+        JOIN ways w ON w.p = s.state AND (w.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (w.edit <> 'K' OR w.sign = r.sign))
+    QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1),
+facts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND before || sign NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ended AS (
+    SELECT s.conv_id, s.cost + f.cost AS cost, s.audit || f.audit AS audit, s.body || f.lead AS body
+    FROM solved s LEFT JOIN facts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+    JOIN (VALUES (0, 0, '', ''), (1, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 2, 'I', chr(10) || 'assistant:'), (3, 0, '', '')) f(state, cost, audit, lead)
+      ON f.state = s.state
+    WHERE s.i = coalesce(c.n, 0)
+    QUALIFY row_number() OVER (PARTITION BY s.conv_id ORDER BY s.cost + f.cost, s.audit || f.audit) = 1)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, e.cost::BIGINT AS cost, audit, sha256(substr(body, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -132,6 +191,14 @@ def vocabularies() -> alignment.Vocabularies:
     return alignment.read_vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(_table(spark, folder, "conversations"))
+
+
+def circulant_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return circulant.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.name: q for q in (
     Query("op1_decontamination", decontamination, DECONTAMINATION_SQL),
     Query("op2_suffix_array_dedup", suffix_array_dedup, SUFFIX_DEDUP_SQL),
@@ -144,4 +211,6 @@ QUERIES: dict[str, Query] = {q.name: q for q in (
     Query("op9_toxicity", toxicity_kernel, None),
     Query("op10_simhash_near_duplicates", simhash_near_duplicates, None),
     Query("op11_cross_tokenizer_alignment", cross_tokenizer_alignment, None),
+    Query("op12_conversation_repair", conversation_repair, CONVERSATIONS_SQL),
+    Query("op13_circulant_minhash", circulant_near_duplicates, None),
 )}
