@@ -44,7 +44,7 @@ FAN = 16
 #: Words that are tokenized as one text.
 RUN = 256
 #: Words, and bytes of words, that a worker remembers from one batch to the next.
-KNOWN_WORDS, KNOWN_BYTES = 300_000, 1 << 24
+KNOWN_WORDS, KNOWN_BYTES = 100_000, 1 << 23
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SHIFT = 32
@@ -369,6 +369,8 @@ def _tokenized(files: Vocabularies, chunk: int, piece: int):
                 ids, found, sizes, held = [], [], [], 0
         if ids:
             yield flush()
+        # Workers outlive their task; what they hold is not there for the next stage.
+        tool.forget()
 
     return run, schema
 
