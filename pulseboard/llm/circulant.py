@@ -232,13 +232,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("other")), "hub")
         .where(_alike(F.size(F.array_intersect("own", "other")), F.size("own"), F.size("other"), percent))
         .select(F.col("hub").alias("a"), F.col("node").alias("b")), "links")
-    parts = _labelled(nodes, links, "parts")
-    more = stage(_between(members, parts, sets, percent, tile), "between")
-    if not more.isEmpty():
-        joined = (more.join(parts.select(F.col("node").alias("a"), F.col("part").alias("x")), "a")
-                  .join(parts.select(F.col("node").alias("b"), F.col("part").alias("y")), "b"))
-        tops = _labelled(parts.select(F.col("part").alias("node")).distinct(),
-                         joined.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "tops")
+    # One link of each node is enough to begin with; what the others add are links between components.
+    parts = _labelled(nodes, links.groupBy("b").agg(F.min("a").alias("a")), "parts")
+    found = links.unionByName(_between(members, parts, sets, percent, tile))
+    joined = (found.join(parts.select(F.col("node").alias("a"), F.col("part").alias("x")), "a")
+              .join(parts.select(F.col("node").alias("b"), F.col("part").alias("y")), "b"))
+    across = stage(joined.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "across")
+    if not across.isEmpty():
+        tops = _labelled(parts.select(F.col("part").alias("node")).distinct(), across, "tops")
         parts = parts.join(tops.select(F.col("node").alias("part"), F.col("part").alias("top")), "part").select("node", F.col("top").alias("part"))
     named = nodes.select("node", "key", "doc_id").join(parts, "node")
     ids = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
@@ -262,11 +263,14 @@ def _between(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
     """Links (a, b) between different components, from the buckets that hold several."""
     labelled = members.where("members > 2").join(parts, "node")
     several = (labelled.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-               .where("least < most").select("bucket"))
-    left = stage(labelled.join(several, "bucket").select("node", "hub").distinct(), "left")
-    inside = stage(left.select("node").unionByName(left.select(F.col("hub").alias("node"))).distinct(), "inside")
-    group = _labelled(inside, left.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), "groups")
-    here = stage(group.withColumnRenamed("part", "grp").join(parts, "node").join(sets, "node"), "grouped")
+               .where("least < most").select("bucket", "least"))
+    inside = stage(labelled.join(several, "bucket").select("node", "part", "least").distinct(), "inside")
+    # Components that meet in a bucket are one group.
+    meet = inside.where("part != least").select(F.col("least").alias("a"), F.col("part").alias("b")).distinct()
+    group = _labelled(inside.select(F.col("part").alias("node")).distinct(), meet, "groups")
+    here = (inside.select("node", "part").distinct()
+            .join(group.select(F.col("node").alias("part"), F.col("part").alias("grp")), "part").join(sets, "node"))
+    here = stage(here, "grouped")
     sizes = here.groupBy("grp").agg(F.ceil(F.sum(F.size("shingles")) / tile).cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     dealt = here.join(sizes, "grp").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where(
