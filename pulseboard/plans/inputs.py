@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseboard.session import files_state, new_path
 from pulseboard.sources.tables import monitored_table, named_table
 
 # Fixed value: the hash in which the dashboard looks for its counts.
@@ -26,9 +27,41 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return named_table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    # A pattern fits one file as well as a folder of files.
-    rows = monitored_table(spark, f"{folder}/events.parquet*", EVENT_SCHEMA)
+#: Files in which the events arrive, one per micro-batch.
+ARRIVALS = 5
+_arrived: dict[tuple, str] = {}
+
+
+def arrival_second(disorder: int = 0) -> Column:
+    """When an event arrives: up to ``disorder`` seconds after it happened."""
+    return F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % (disorder + 1)
+
+
+def event_arrivals(spark: SparkSession, folder: str, disorder: int = 0) -> str:
+    """The events as files that were written one after the other, by the time of their arrival."""
+    source = f"{folder}/events.parquet"
+    key = (spark.sparkContext.applicationId, source, disorder, files_state(spark, source))
+    if key not in _arrived:
+        path = new_path(spark, "arrivals")
+        rows = named_table(spark, folder, "events").withColumn("_at", arrival_second(disorder))
+        ends = rows.agg(F.min("_at").alias("low"), F.max("_at").alias("high")).first()
+        low, step = ends["low"] or 0, ((ends["high"] or 0) - (ends["low"] or 0)) // ARRIVALS + 1
+        for n in range(ARRIVALS):
+            due = F.floor((F.coalesce("_at", F.lit(low)) - low) / step) == n
+            rows.where(due).drop("_at").coalesce(1).write.mode("append").parquet(path)
+        _arrived[key] = path
+    return _arrived[key]
+
+
+#: Number of the file an event arrives in.
+_SECOND = "CAST(floor(epoch(ts)) AS BIGINT)"
+ARRIVAL_SQL = f"""({_SECOND} - (SELECT min({_SECOND}) FROM events))
+    // ((SELECT max({_SECOND}) - min({_SECOND}) FROM events) // {ARRIVALS} + 1)"""
+
+
+def event_stream(spark: SparkSession, folder: str, disorder: int = 0) -> DataFrame:
+    """The events as they arrive, one file per micro-batch."""
+    rows = monitored_table(spark, event_arrivals(spark, folder, disorder), EVENT_SCHEMA, files_per_batch=1)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

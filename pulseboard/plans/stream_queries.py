@@ -25,24 +25,34 @@ from pulseboard.sources.tables import monitored_table, named_table
 from pulseboard.sources.topic import Topic, json_topic, raw_topic
 from pulseboard.streaming import dashboards as db
 from pulseboard.streaming.runtime import drain, event_time, text_rows
+from pulseboard.streaming.sequence import followed_by_join
+from pulseboard.streaming.totals import best_overall, rolling_totals
 
 # Finished windows: the watermark is the largest event time, cut to milliseconds, minus three seconds.
 PASSED = "window_end <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 3 SECOND"
 
 
 class Job:
-    """Folders of one run of a streaming job."""
+    """Folders of one run of a streaming job, and the number of micro-batches that brought rows."""
+
+    batches: dict[str, int] = {}
 
     def __init__(self, spark, name):
+        self.name = name
         self.spark = spark
         self.session = stream_session(spark)
         self.base = new_path(spark, name)
         self.out = f"{self.base}/out"
         self.checkpoint = f"{self.base}/checkpoint"
 
+    def run(self, df, write, mode="append"):
+        """Drain ``df`` into ``write``."""
+        done = drain(df, write, self.checkpoint, mode)
+        self.batches[self.name] = sum(p["numInputRows"] > 0 for p in done.recentProgress)
+
     def append(self, df, mode="append"):
         """Append finished rows and read them back."""
-        drain(df, files.append_batch(self.out), self.checkpoint, mode)
+        self.run(df, files.append_batch(self.out), mode)
         return self.rows(df.schema)
 
     def rows(self, schema, path=""):
@@ -121,7 +131,7 @@ def top2_stream(spark, folder):
     job = Job(spark, "top2")
     rooms = as_rooms(event_stream(job.session, folder))
     totals = db.window_totals(rooms, "ts", "action", ["room_id"], dq.SLIDE_SIZE, dq.SLIDE_STEP)
-    drain(totals, db.top_rooms_writer(job.out), job.checkpoint)
+    job.run(totals, db.top_rooms_writer(job.out))
     schema = T.StructType([*totals.schema.fields, T.StructField("rownum", T.LongType())])
     return dq.borders_at_rest(job.rows(schema)).select("window_end", "room_id", "cnt", "rownum")
 
@@ -134,9 +144,9 @@ def top1_stream(spark, folder):
     job = Job(spark, "top1")
     rooms = as_rooms(event_stream(job.session, folder))
     totals = db.window_totals(rooms, "ts", "action", ["room_id"], dq.TUMBLE)
-    schema = T.StructType([*totals.schema.fields, T.StructField("rownum", T.LongType())])
-    table = job.keyed(schema, ["rownum"])
-    drain(totals, db.overall_top_writer(table, "room_id"), job.checkpoint)
+    best = best_overall(totals, [("cnt", False), ("window_start", True), ("room_id", True)], 3, "room_id")
+    table = job.keyed(best.schema, ["rownum"])
+    job.run(best, table.write)
     return dq.borders_at_rest(job.read(table)).select("window_start", "room_id", "cnt", "rownum")
 
 
@@ -147,7 +157,7 @@ def agg5_stream(spark, folder):
         F.sum("click_count").alias("cnt")
     )
     table = job.keyed(clicks.schema, ["uid", "phone_type"])
-    drain(clicks, table.write, job.checkpoint, "update")
+    job.run(clicks, table.write, "update")
     return job.read(table)
 
 
@@ -156,7 +166,7 @@ def agg7_stream(spark, folder):
     job = Job(spark, "agg7")
     totals = day_sum(event_time(as_amounts(event_stream(job.session, folder)), "ts"), "ts", "value", ["category"])
     table = job.keyed(totals.schema, ["window_start", "category"])
-    drain(totals, table.write, job.checkpoint, "update")
+    job.run(totals, table.write, "update")
     return dq.borders_at_rest(job.read(table))
 
 
@@ -164,12 +174,7 @@ def agg7_stream(spark, folder):
 def agg8_stream(spark, folder):
     job = Job(spark, "agg8")
     amounts = as_amounts(event_stream(job.session, folder)).select("event_id", "ts", "category", "value")
-    schema = amounts.select("category", "value").schema
-    state = job.keyed(schema, ["category"], "add", ["value"])
-    writer = db.rolling_sum_writer(state, job.out, "category", "value", ["ts", "event_id"])
-    drain(amounts, writer, job.checkpoint)
-    out = T.StructType([*amounts.schema.fields, T.StructField("rolling", T.LongType())])
-    return job.rows(out).select("event_id", "category", "rolling")
+    return job.append(rolling_totals(amounts, "category", "value", ["ts", "event_id"])).select("event_id", "category", "rolling")
 
 
 @query("win1_running_users_stream", dq.RUNNING_BY_LABEL)
@@ -177,7 +182,7 @@ def win1_stream(spark, folder):
     job = Job(spark, "win1")
     first = db.first_seen(as_behaviour(event_stream(job.session, folder)))
     table = job.keyed(first.schema, ["uid"])
-    drain(first, table.write, job.checkpoint, "update")
+    job.run(first, table.write, "update")
     return db.running_users(job.read(table))
 
 
@@ -187,7 +192,7 @@ def _sequence_job(spark, folder, name):
     writer = db.SequenceWriter(
         job.base, dq.SEQUENCE_START, dq.SEQUENCE_END, timedelta(hours=1), "time", "event_id", ["uid"]
     )
-    drain(rows, writer, job.checkpoint)
+    job.run(rows, writer)
     return spark.read.parquet(f"{job.base}/matches")
 
 
@@ -196,6 +201,18 @@ def cep1_stream(spark, folder):
     return dq.sequence_ids(_sequence_job(spark, folder, "cep1"))
 
 
+@query("cep1_interval_join_stream", f"""
+    SELECT start_id, end_id, start_uid, end_uid FROM {dq.sequence_sql()}
+    WHERE start_time <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE - INTERVAL 1 HOUR""")
+def cep1_join_stream(spark, folder):
+    """Events arrive up to ten minutes late; a match is given out once the watermark has passed its start by the span."""
+    job = Job(spark, "cep1_join")
+    starts, ends = (as_behaviour(event_stream(job.session, folder, 600)) for _ in range(2))
+    matches = followed_by_join(
+        starts, ends, F.expr(dq.SEQUENCE_START), F.expr(dq.SEQUENCE_END), 3600, "time", "event_id", ["uid"], delay="10 minutes")
+    return dq.sequence_ids(job.append(matches))
+
+
 @query("snk16_alert_table_stream", dq.ALERTS)
 def snk16_stream(spark, folder):
     return alert_rows(_sequence_job(spark, folder, "snk16"), "time")
@@ -209,7 +226,7 @@ def mut1_stream(spark, folder):
     feed.write.parquet(source)
     stream = monitored_table(job.session, source, feed.schema, files_per_batch=4)
     table = job.keyed(feed.select("id", "uid", "sex", "amount").schema, ["id"])
-    drain(stream, db.change_writer(table, ["id"]), job.checkpoint)
+    job.run(stream, db.change_writer(table, ["id"]))
     return job.read(table)
 
 
@@ -222,7 +239,7 @@ def snk4_stream(spark, folder):
     credit_lines(spark, folder).write.text(source)
     parsed = credit_records(raw_topic(job.session, Topic(path=source))).where("uid is not null")
     table = job.keyed(tq.CREDIT_TYPES, ["uid", "date_of"], "add", ["num", "credit"])
-    drain(parsed, table.write, job.checkpoint)
+    job.run(parsed, table.write)
     return job.read(table).withColumn("credit", F.col("credit").cast("string"))
 
 
@@ -239,7 +256,7 @@ def snk8_stream(spark, folder):
         F.col("cnt").cast("string").alias("value"),
     )
     table = job.keyed(fields.schema, ["hash", "field"])
-    drain(fields, table.write, job.checkpoint, "update")
+    job.run(fields, table.write, "update")
     return job.read(table)
 
 
@@ -253,11 +270,7 @@ def jn3_stream(spark, folder):
     )
     facts = event_stream(job.session, folder).select("event_id", "user_id")
     append = files.append_batch(job.out)
-    drain(
-        facts,
-        db.lookup_writer(dimension, "user_id", "c_custkey", lambda b, i: append(b.select("event_id", "c_name"), i)),
-        job.checkpoint,
-    )
+    job.run(facts, db.lookup_writer(dimension, "user_id", "c_custkey", lambda b, i: append(b.select("event_id", "c_name"), i)))
     return spark.read.parquet(job.out).drop("batch")
 
 
@@ -290,7 +303,7 @@ def snk13_stream(spark, folder):
     sink = files.CommittingPartitions(
         job.session, job.out, ["ts_date"], "ts", grain=timedelta(days=1), delay=timedelta(seconds=3)
     )
-    drain(rows, sink, job.checkpoint)
+    job.run(rows, sink)
     stored = spark.read.schema("event_id bigint, ts_date string").parquet(f"{job.out}/data")
     return stored.join(spark.read.parquet(f"{job.out}/committed").select("ts_date").distinct(), "ts_date").groupBy(
         "ts_date"
@@ -310,7 +323,7 @@ def snk14_stream(spark, folder):
         records = batch.select(F.to_json(F.struct("hour", "uid", "n")).alias("value"))
         records.write.mode("overwrite").text(f"{topic}/batch={batch_id}")
 
-    drain(views, publish, job.checkpoint, "update")
+    job.run(views, publish, "update")
     schema = T.StructType([
         T.StructField("hour", T.StringType()), T.StructField("uid", T.StringType()), T.StructField("n", T.LongType()),
     ])
@@ -329,7 +342,7 @@ def snk15_stream(spark, folder):
     amounts = as_amounts(event_stream(job.session, folder)).select("event_id", "category", "value")
     schema = amounts.select("category", "value").schema
     table = job.keyed(schema, ["category"], "add", ["value"])
-    drain(amounts, files.several(files.append_batch(job.out), table.write), job.checkpoint)
+    job.run(amounts, files.several(files.append_batch(job.out), table.write))
     rows = job.rows(amounts.schema).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     return rows.select(F.lit("rows").alias("target"), "category", "n").unionByName(
         job.read(table).select(F.lit("totals").alias("target"), "category", F.col("value").alias("n"))

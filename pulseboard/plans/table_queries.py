@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pulseboard.functions import records, text, times
 from pulseboard.operators import changes as ch
 from pulseboard.operators import lookup, search
+from pulseboard.operators.inverted import index_of_table
 from pulseboard.operators.pattern import alert_rows
 from pulseboard.operators.shape import wide_row
 from pulseboard.operators.topk import ranked_pages
@@ -134,8 +135,14 @@ SEARCH_TERM = "thatin"
 SECOND_TERM = "thing"
 
 
-def search_sql(term: str) -> str:
-    edits, prefix = search.allowed_edits(term), term[: search.PREFIX_LENGTH]
+def documents_index(spark, folder):
+    """The stored index of the documents, built once for all searches of the application."""
+    return index_of_table(named_table(spark, folder, "documents"), f"{folder}/documents.parquet")
+
+
+def search_sql(term: str, prefix_length: int = search.PREFIX_LENGTH, most: int | None = search.MAX_EXPANSIONS) -> str:
+    edits, prefix = search.allowed_edits(term), term[:prefix_length]
+    nearest = f"ORDER BY levenshtein(word, '{term}'), word LIMIT {most}" if most else ""
     words = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
     return f"""(WITH scanned AS (SELECT doc_id, {words} AS ws FROM documents),
         lengths AS (SELECT doc_id, len(ws) AS length, ws FROM scanned),
@@ -144,7 +151,7 @@ def search_sql(term: str) -> str:
             SELECT doc_id, length, unnest(ws) AS word FROM lengths)
             WHERE starts_with(word, '{prefix}') AND levenshtein(word, '{term}') <= {edits} GROUP BY ALL),
         expansions AS (SELECT word, count(*) AS df FROM counts GROUP BY word
-            ORDER BY levenshtein(word, '{term}'), word LIMIT {search.MAX_EXPANSIONS})
+            {nearest})
         SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * {search.K1 + 1}
             / (tf + {search.K1} * (1 - {search.B} + {search.B} * length / avg_length))), 6) AS score
         FROM counts JOIN expansions USING (word) CROSS JOIN corpus GROUP BY doc_id)"""
@@ -152,12 +159,18 @@ def search_sql(term: str) -> str:
 
 @query("srch1_fuzzy_search", f"SELECT doc_id, score FROM {search_sql(SEARCH_TERM)} ORDER BY score DESC, doc_id LIMIT 10")
 def srch1(spark, folder):
-    return search.top_hits(search.fuzzy_search(named_table(spark, folder, "documents"), SEARCH_TERM))
+    return search.top_hits(documents_index(spark, folder).search(SEARCH_TERM))
+
+
+@query("srch1_fuzzy_search_unlimited", f"SELECT doc_id, score FROM {search_sql(SEARCH_TERM, 0, None)}")
+def srch1_unlimited(spark, folder):
+    """All words within the edits count, whatever they begin with, and all documents are returned."""
+    return documents_index(spark, folder).search(SEARCH_TERM, prefix_length=0, most=None)
 
 
 @query("top3_ranked_hits", f"SELECT doc_id, score FROM {search_sql(SECOND_TERM)} ORDER BY score DESC, doc_id LIMIT 10")
 def top3(spark, folder):
-    return search.top_hits(search.fuzzy_search(named_table(spark, folder, "documents"), SECOND_TERM))
+    return search.top_hits(documents_index(spark, folder).search(SECOND_TERM))
 
 
 @query("src11_search_records", f"""
@@ -166,7 +179,7 @@ def top3(spark, folder):
 def src11(spark, folder):
     docs = named_table(spark, folder, "documents")
     # Ten hits at most, so they go to every task.
-    hits = F.broadcast(search.top_hits(search.fuzzy_search(docs, SEARCH_TERM)).select("doc_id"))
+    hits = F.broadcast(search.top_hits(documents_index(spark, folder).search(SEARCH_TERM)).select("doc_id"))
     return docs.join(hits, "doc_id").select(
         F.col("lang").alias("field1"), F.col("n_chars").cast("int").alias("field2")
     )
@@ -179,7 +192,7 @@ def src11(spark, folder):
         UNION ALL (SELECT 3, doc_id FROM documents ORDER BY doc_id LIMIT 10))""")
 def src12(spark, folder):
     docs = named_table(spark, folder, "documents")
-    found = search.top_hits(search.fuzzy_searches(docs, [SEARCH_TERM, SECOND_TERM]))
+    found = search.top_hits(documents_index(spark, folder).searches([SEARCH_TERM, SECOND_TERM]))
     # A match-all search scores every document alike, so the order is that of the ids.
     every = docs.select(F.lit(3).alias("search_id"), "doc_id").orderBy("doc_id").limit(10)
     return found.select("search_id", "doc_id").unionByName(every).select(
@@ -192,7 +205,7 @@ def src12(spark, folder):
         SELECT doc_id, score, row_number() OVER (ORDER BY score DESC, doc_id) AS rownum
         FROM {search_sql(SEARCH_TERM)})""")
 def src13(spark, folder):
-    scored = search.fuzzy_search(named_table(spark, folder, "documents"), SEARCH_TERM)
+    scored = documents_index(spark, folder).search(SEARCH_TERM)
     return ranked_pages(scored, [("score", "desc"), "doc_id"]).select("doc_id", "score", "page")
 
 

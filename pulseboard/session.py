@@ -69,6 +69,13 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def files_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of the files at a path; another value means that they have changed."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in system.listStatus(root)))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Store ``df`` in the shared folder and go on from the stored table.
 
