@@ -64,6 +64,31 @@ def decode_json(
     )
 
 
+RAW = "_raw"
+REASON = "_reason"
+
+
+def tagged_json(df: DataFrame, schema: T.StructType, value: str = "value", times: dict[str, str] | None = None) -> DataFrame:
+    """All lines, read once: the fields, the line itself (``_raw``) and why it is refused (``_reason``, null if it is not).
+
+    Reasons are ``no record``, ``field <name>`` (a value of another type) and ``time <name>`` (a text that ``times`` names and its
+    format does not read; such a field becomes a timestamp).
+    """
+    fields = _nullable(schema)
+    with_corrupt = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    no_text = F.coalesce(F.trim(value) == "", F.lit(True)).alias(VOID)
+    read = df.select(F.col(value).alias(RAW), no_text, F.inline(F.array(F.from_json(F.col(value), with_corrupt, options))))
+    stamps = {name: F.try_to_timestamp(F.col(name), F.lit(fmt)) for name, fmt in (times or {}).items()}
+    # Only lines that are marked corrupt are looked into again.
+    wrong = F.coalesce(*[F.when(F.col(f.name).isNull() & json_path(RAW, f"$.{f.name}").isNotNull(), F.lit(f"field {f.name}"))
+                         for f in fields.fields], F.lit("no record"))
+    late = F.coalesce(*[F.when(F.col(n).isNotNull() & t.isNull(), F.lit(f"time {n}")) for n, t in stamps.items()], F.lit(None).cast("string"))
+    reason = F.when(F.col(VOID) | broken_record(schema), "no record").when(F.col(CORRUPT).isNotNull(), wrong).otherwise(late)
+    columns = {f.name: stamps.get(f.name, F.col(f.name)) for f in fields.fields}
+    return computed_once(read, {**columns, RAW: F.col(RAW), REASON: reason})
+
+
 def broken_record(schema: T.StructType) -> Column:
     """True for a line that is no JSON object: empty, or marked corrupt and not readable as any object.
 

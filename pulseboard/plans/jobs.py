@@ -65,11 +65,28 @@ class Settings:
     def table(self) -> str:
         return f"{self.path}/table"
 
+    @property
+    def dead(self) -> str:
+        """Refused lines with their reasons, by batch."""
+        return f"{self.path}/dead"
+
 
 def _records(spark: SparkSession, s: Settings, schema: T.StructType) -> DataFrame:
     return json_topic(spark, s.topic, schema, policy=s.policy)
 
 
+def _tagged(spark: SparkSession, s: Settings, schema: T.StructType, times: dict[str, str] | None = None) -> DataFrame:
+    """All lines of the topic with the reason why a line is refused."""
+    return records.tagged_json(raw_topic(spark, s.topic), schema, times=times)
+
+
+def dead_letters(spark: SparkSession, s: Settings, schema: T.StructType, times: dict[str, str] | None = None) -> StreamingQuery:
+    """The refused lines of a topic as a job of its own, beside a job that holds windows and can have one target only."""
+    refused = _tagged(spark, s, schema, times).where(F.col(records.REASON).isNotNull())
+    lines = refused.select(F.col(records.RAW).alias("value"), F.col(records.REASON).alias("reason"))
+    return start(lines, files.append_batch(s.dead), f"{s.path}/dead-checkpoint", "append", s.every)
+
+
 def _behaviour(spark: SparkSession, s: Settings) -> DataFrame:
     return _records(spark, s, BEHAVIOUR).select(
         "uid", times.parse_timestamp("time").alias("time"), F.col("phoneType").alias("phone_type"),
@@ -138,8 +155,8 @@ def location_rows(spark: SparkSession, s: Settings, writer: BatchWriter | None =
 def profile_lookup(spark: SparkSession, s: Settings, dimension: Callable[[], DataFrame],
                    fact_key: str, dimension_key: str, writer: BatchWriter) -> StreamingQuery:
     """User profiles joined with a dimension as it is at each micro-batch."""
-    users = _records(spark, s, USER)
-    return start(users, db.lookup_writer(dimension, fact_key, dimension_key, writer), s.checkpoint, "append", s.every)
+    joined = db.lookup_writer(dimension, fact_key, dimension_key, writer)
+    return start(_tagged(spark, s, USER), files.kept_and_dead(joined, s.dead), s.checkpoint, "append", s.every)
 
 
 def day_clicks(spark: SparkSession, s: Settings, writer: BatchWriter | None = None) -> StreamingQuery:
@@ -149,10 +166,11 @@ def day_clicks(spark: SparkSession, s: Settings, writer: BatchWriter | None = No
 
 
 def table_sync(spark: SparkSession, s: Settings) -> StreamingQuery:
-    """A table kept equal to the source of its changelog."""
-    feed = _records(spark, s, CHANGE)
-    table = keyed_result(spark, s, feed.drop("op", "seq").schema, ["id"])
-    return start(feed, db.change_writer(table, ["id"]), s.checkpoint, "append", s.every)
+    """A table kept equal to the source of its changelog; refused lines are put aside."""
+    feed = _tagged(spark, s, CHANGE)
+    schema = feed.drop("op", "seq", records.RAW, records.REASON).schema
+    writer = db.change_writer(keyed_result(spark, s, schema, ["id"]), ["id"])
+    return start(feed, files.kept_and_dead(writer, s.dead), s.checkpoint, "append", s.every)
 
 
 def click_alerts(spark: SparkSession, s: Settings, clicks: int = 7, phone: str = "iOS",
@@ -173,21 +191,21 @@ def read_alerts(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 def credit_totals(spark: SparkSession, s: Settings, writer: BatchWriter | None = None) -> StreamingQuery:
-    """Credits added up per user and date from comma-separated messages inside log records."""
+    """Credits added up per user and date from comma-separated messages inside log records; refused lines are put aside."""
     parts = records.computed_once(
-        raw_topic(spark, s.topic), {"m": F.split(records.json_path("value", "$.message"), ",")}
+        raw_topic(spark, s.topic), {"m": F.split(records.json_path("value", "$.message"), ",")}, ["value"]
     )
-
-    def field(position: int, data_type: str):
-        return F.try_element_at("m", F.lit(position)).try_cast(data_type)
-
-    rows = parts.select(
-        field(1, "bigint").alias("uid"), field(2, "bigint").alias("date_of"), field(3, "bigint").alias("num"),
-        field(4, "decimal(38,18)").alias("result_credit"),
-    ).where("uid is not null and date_of is not null and num is not null and result_credit is not null")
+    kinds = {"uid": "bigint", "date_of": "bigint", "num": "bigint", "result_credit": "decimal(38,18)"}
+    fields = {name: F.try_element_at("m", F.lit(n)).try_cast(kind) for n, (name, kind) in enumerate(kinds.items(), 1)}
+    read = records.computed_once(parts, fields, ["value", "m"])
+    reason = F.when(F.col("m").isNull(), "no record")
+    for name in kinds:
+        reason = reason.when(F.col(name).isNull(), f"field {name}")
+    rows = read.select(*kinds, F.col("value").alias(records.RAW), reason.alias(records.REASON))
     if writer is None:
-        writer = KeyedTable(spark, s.table, rows.schema, ["uid", "date_of"], "add", ["num", "result_credit"], 100).write
-    return start(rows, writer, s.checkpoint, "append", s.every)
+        schema = rows.select(*kinds).schema
+        writer = KeyedTable(spark, s.table, schema, ["uid", "date_of"], "add", ["num", "result_credit"], 100).write
+    return start(rows, files.kept_and_dead(writer, s.dead), s.checkpoint, "append", s.every)
 
 
 def dated_files(spark: SparkSession, s: Settings, rows_per_file: int | None = None) -> StreamingQuery:

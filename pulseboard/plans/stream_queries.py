@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseboard.functions import text, times
+from pulseboard.functions.records import tagged_json
 from pulseboard.operators.aggregates import day_sum
+from pulseboard.operators.cache import LookupCache
 from pulseboard.operators.lookup import RefreshingDimension
 from pulseboard.operators.pattern import alert_rows
+from pulseboard.operators.shape import wide_row
+from pulseboard.operators.topk import top_per_group
 from pulseboard.plans import dashboard_queries as dq
 from pulseboard.plans import table_queries as tq
 from pulseboard.plans.functions_queries import CREDITS, DECODED, RECORD_SCHEMA, credit_lines, credit_records
 from pulseboard.plans.inputs import (
-    AMOUNTS, BEHAVIOUR, CLICK_HASH, as_amounts, as_behaviour, as_rooms, changes, event_stream,
+    AMOUNTS, ARRIVAL_SQL, BEHAVIOUR, CLICK_HASH, as_amounts, as_behaviour, as_rooms, changes, event_stream,
 )
 from pulseboard.plans.registry import query
 from pulseboard.session import new_path, stream_session
 from pulseboard.sinks import files
+from pulseboard.sinks.buckets import BucketedTable
 from pulseboard.sinks.keyed import KeyedTable
 from pulseboard.sources.tables import monitored_table, named_table
 from pulseboard.sources.topic import Topic, json_topic, raw_topic
@@ -62,6 +67,10 @@ class Job:
     def keyed(self, schema, keys, mode="replace", measures=()):
         return KeyedTable(self.session, f"{self.base}/keyed", _nullable(schema), keys, mode, measures)
 
+    def seen(self, table):
+        """The bucketed table, seen from the caller's session."""
+        return BucketedTable(self.spark, table.path, table.schema, table.keys, buckets=table.buckets).read()
+
     def read(self, table):
         """The keyed table, seen from the caller's session."""
         return KeyedTable(self.spark, table.path, table.schema, table.keys, table.mode, table.measures).read()
@@ -255,9 +264,97 @@ def snk8_stream(spark, folder):
         F.lit(CLICK_HASH).alias("hash"), text.hash_field("uid", "phone_type").alias("field"),
         F.col("cnt").cast("string").alias("value"),
     )
-    table = job.keyed(fields.schema, ["hash", "field"])
+    table = BucketedTable(job.session, f"{job.base}/hash", fields.schema, ["hash", "field"])
     job.run(fields, table.write, "update")
-    return job.read(table)
+    return job.seen(table)
+
+
+@query("snk3_keyed_upsert_stream", f"""
+    SELECT phone_type, uid, arg_max(event_id, (time, event_id)) AS event_id, max(time) AS time FROM {BEHAVIOUR} GROUP BY phone_type, uid""")
+def snk3_stream(spark, folder):
+    """The last event of each user and type; a batch rewrites the buckets it touches."""
+    job = Job(spark, "snk3")
+    rows = as_behaviour(event_stream(job.session, folder)).withColumn("seq", F.unix_micros("time"))
+    schema = rows.select("phone_type", "uid", "event_id", "time").schema
+    table = BucketedTable(job.session, f"{job.base}/last", schema, ["phone_type", "uid"])
+
+    def last_of_batch(batch, batch_id):
+        # Equal times are ordered by the event.
+        latest = top_per_group(batch, ["phone_type", "uid"], [("time", "desc"), ("event_id", "desc")], 1).drop("rownum")
+        table.write(latest, batch_id, seq="seq")
+
+    job.run(rows, last_of_batch)
+    return job.seen(table).withColumn("time", times.at_rest("time"))
+
+
+@query("snk7_wide_column_stream", f"""
+    SELECT uid AS rowkey, arg_max(phone_type, (time, event_id)) AS phone_type, arg_max(click_count, (time, event_id)) AS click_count
+    FROM {BEHAVIOUR} GROUP BY uid""")
+def snk7_stream(spark, folder):
+    """One wide row per user in one column family, rewritten bucket by bucket."""
+    job = Job(spark, "snk7")
+    rows = as_behaviour(event_stream(job.session, folder))
+    wide = wide_row(rows, F.col("uid"), {"phone_type": "phone_type", "click_count": "click_count", "event_id": "event_id", "time": "time"})
+    table = BucketedTable(job.session, f"{job.base}/wide", wide.schema, ["rowkey"])
+
+    def write(batch, batch_id):
+        at = batch.withColumns({"time": F.col("cf.time"), "event": F.col("cf.event_id")})
+        latest = top_per_group(at, ["rowkey"], [("time", "desc"), ("event", "desc")], 1)
+        table.write(latest.withColumn("seq", F.unix_micros("time")), batch_id, seq="seq")
+
+    job.run(wide, write)
+    return job.seen(table).select("rowkey", "cf.phone_type", "cf.click_count")
+
+
+@query("snk10_dead_letters_stream", """
+    SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'no record' WHEN event_id % 50 = 1 THEN 'field clicks'
+        WHEN event_id % 50 = 2 THEN 'time at' ELSE 'kept' END AS fate FROM events""")
+def snk10_stream(spark, folder):
+    """Every line is either kept or put aside with its reason; together they are all lines."""
+    job = Job(spark, "snk10")
+    number = F.col("event_id")
+    fields = F.struct("event_id", F.when(number % 50 == 1, "many").otherwise(F.floor("value").cast("string")).alias("clicks"),
+                      F.when(number % 50 == 2, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("at"))
+    # Numbers are written as numbers.
+    line = F.regexp_replace(F.to_json(fields), r'"clicks":"(\d+)"', '"clicks":$1')
+    lines = event_stream(job.session, folder).select(
+        F.when(number % 50 == 0, F.concat(F.lit("{broken "), number.cast("string"))).otherwise(line).alias("value"))
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("clicks", T.LongType()), T.StructField("at", T.StringType())])
+    counts = {}
+    job.run(tagged_json(lines, schema, times={"at": "yyyy-MM-dd HH:mm:ss"}),
+            files.kept_and_dead(files.append_batch(job.out), f"{job.base}/dead", counts))
+    kept = spark.read.parquet(job.out)
+    dead = spark.read.parquet(f"{job.base}/dead")
+    if (kept.count() + dead.count(), dead.count()) != tuple(map(sum, zip(*counts.values()))):
+        raise RuntimeError("kept and refused lines do not add up to those that passed")
+    whose = F.coalesce(F.get_json_object("value", "$.event_id"), F.regexp_extract("value", r"(\d+)$", 1)).cast("bigint")
+    return kept.select("event_id", F.lit("kept").alias("fate")).unionByName(dead.select(whose.alias("event_id"), F.col("reason").alias("fate")))
+
+
+@query("jn5_refreshed_lookup_stream", f"""
+    SELECT event_id, c_name || ' v' || first AS c_name FROM (
+        SELECT event_id, user_id, min(n) OVER (PARTITION BY user_id) AS first
+        FROM (SELECT event_id, user_id, CAST({ARRIVAL_SQL} AS BIGINT) AS n FROM events)) JOIN customer ON user_id = c_custkey""")
+def jn5_stream(spark, folder):
+    """The dimension changes with each batch; a key that was looked up once is answered from the cache."""
+    job = Job(spark, "jn5")
+    customers = named_table(job.session, folder, "customer").select("c_custkey", "c_name")
+    batch_now = [0]
+
+    def load(keys):
+        named = customers.withColumn("c_name", F.concat("c_name", F.lit(f" v{batch_now[0]}")))
+        return named.join(keys, "c_custkey", "left_semi")
+
+    cache = LookupCache(job.session, load, customers.schema, ["c_custkey"], ttl=float("inf"), max_keys=1_000_000)
+    append = files.append_batch(job.out)
+
+    def write(batch, batch_id):
+        batch_now[0] = batch_id
+        append(cache.join(batch, ["user_id"]).select("event_id", "c_name"), batch_id)
+
+    job.run(event_stream(job.session, folder).select("event_id", "user_id"), write)
+    return spark.read.parquet(job.out).drop("batch")
 
 
 @query("jn3_refreshed_lookup_stream", """

@@ -63,10 +63,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/pulseboard/{spark.sparkContext.applicationId}"
 
 
+def drop_path(spark: SparkSession, name: str) -> None:
+    """Remove a folder, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the stored intermediate tables of this application, once its results are written elsewhere."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, scratch_dir(spark))
 
 
 def files_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.functions.records import csv_field, encode_json
+from pulseboard.functions.records import RAW, REASON, csv_field, encode_json
 from pulseboard.functions.times import format_millis
 
 # Fixed value: the folder of lines without a readable event time.
@@ -74,6 +74,28 @@ def to_topic(df: DataFrame, path: str = "", servers: str = "", name: str = "") -
         records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", name).save()
 
 
+def kept_and_dead(write: Callable[[DataFrame, int], None], dead: str, counts: dict[int, tuple[int, int]] | None = None):
+    """Writer of tagged records (``records.tagged_json``): good rows to ``write``, refused lines with their reasons under ``dead``.
+
+    The batch is computed once. The refused lines lie under the batch number and are replaced when the batch is repeated, as are the good rows if
+    ``write`` is repeatable. ``counts`` gets (rows, refused rows) of each batch, counted in passing.
+    """
+    refused = append_batch(dead)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        kept = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("dead")).persist()
+        try:
+            refused(kept.where(F.col(REASON).isNotNull()).select(F.col(RAW).alias("value"), F.col(REASON).alias("reason")), batch_id)
+            write(kept.where(F.col(REASON).isNull()).drop(RAW, REASON), batch_id)
+            if counts is not None:
+                counts[batch_id] = (seen.get["rows"], seen.get["dead"])
+        finally:
+            kept.unpersist()
+
+    return split
+
+
 def several(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """One micro-batch to several targets; it is computed once."""
 

@@ -47,7 +47,7 @@ class KeyedTable:
         self.compact_every = compact_every
 
     @property
-    def _stored(self) -> T.StructType:
+    def stored(self) -> T.StructType:
         return T.StructType([
             *[T.StructField(f.name, f.dataType, True) for f in self.schema.fields],
             T.StructField(SEQ, T.LongType()),
@@ -60,34 +60,39 @@ class KeyedTable:
 
         A lower sequence than the stored one loses, so late changes do no harm.
         """
-        rows = batch.select(
+        rows = self.folded_batch(batch, batch_id, seq, deleted)
+        rows.write.mode("overwrite").parquet(f"{self.path}/delta/n={batch_id}")
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact()
+
+    def folded_batch(self, batch: DataFrame, batch_id: int, seq: str | None = None, deleted: str | None = None) -> DataFrame:
+        """The batch in its stored form, one row per key."""
+        return self.fold(batch.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields],
             (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias(SEQ),
             (F.col(deleted) if deleted else F.lit(False)).alias(DELETED),
             F.lit(batch_id).cast("bigint").alias(BATCH),
-        )
-        self._folded(rows).write.mode("overwrite").parquet(f"{self.path}/delta/n={batch_id}")
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.compact()
+        ))
 
-    def _folded(self, rows: DataFrame) -> DataFrame:
-        """One row per key."""
+    def fold(self, rows: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+        """One row per key; ``also`` names columns that the key fixes."""
+        keys = [*self.keys, *also]
         if self.mode == "add":
-            return self._added(rows)
-        others = [c for c in rows.columns if c not in self.keys]
-        last = rows.groupBy(*self.keys).agg(
+            return self._added(rows, keys)
+        others = [c for c in rows.columns if c not in keys]
+        last = rows.groupBy(*keys).agg(
             F.max_by(F.struct(*others), F.struct(SEQ, BATCH)).alias("_last")
         )
         return last.select(
-            *[F.col(c) if c in self.keys else F.col(f"_last.{c}").alias(c) for c in rows.columns]
+            *[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in rows.columns]
         )
 
-    def _added(self, rows: DataFrame) -> DataFrame:
+    def _added(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         kept = [c for c in self.schema.fieldNames() if c not in self.keys and c not in self.measures]
         totals = [F.sum(m).cast(self.schema[m].dataType).alias(m) for m in self.measures]
         # Without kept columns all parts have a fixed size, and the totals are hashed and not sorted.
         first = [F.min_by(F.struct(*kept), F.col(BATCH)).alias("_first")] if kept else []
-        grouped = rows.groupBy(*self.keys).agg(
+        grouped = rows.groupBy(*keys).agg(
             *totals, *first, F.max(SEQ).alias(SEQ), F.min(BATCH).alias(BATCH), F.bool_and(DELETED).alias(DELETED)
         )
         return grouped.select(*[F.col(f"_first.{c}").alias(c) if c in kept else F.col(c) for c in rows.columns])
@@ -120,8 +125,8 @@ class KeyedTable:
         parts = self._parts(before)
         if not parts:
             return self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(self._stored).parquet(*parts)
-        return self._folded(rows).where(~F.col(DELETED)).select(*self.schema.fieldNames())
+        rows = self.spark.read.schema(self.stored).parquet(*parts)
+        return self.fold(rows).where(~F.col(DELETED)).select(*self.schema.fieldNames())
 
     def compact(self) -> None:
         """Fold all batches so far into one base. Readers before and after see the same rows.
@@ -132,5 +137,5 @@ class KeyedTable:
         parts = self._parts()
         if not deltas or len(parts) < 2:
             return
-        rows = self.spark.read.schema(self._stored).parquet(*parts)
-        self._folded(rows).write.mode("overwrite").parquet(f"{self.path}/base/n={deltas[-1]}")
+        rows = self.spark.read.schema(self.stored).parquet(*parts)
+        self.fold(rows).write.mode("overwrite").parquet(f"{self.path}/base/n={deltas[-1]}")
