@@ -4,11 +4,12 @@ Rows lie in hash buckets of their key. A batch reads the buckets of its keys, me
 as new files beside the old ones; a small list says which version of each bucket counts. The list is written last, so
 a batch that fails midway leaves the table as it was, and a repeated batch starts from the list before it. Versions
 that neither the newest list nor the one before it names are removed: the number of folders does not grow with the batches.
+A batch that is repeated after its list was written replaces its own files; readers have to wait for its end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,14 +39,14 @@ class BucketedTable:
     def write(self, batch: DataFrame, batch_id: int, seq: str | None = None, deleted: str | None = None) -> None:
         """Upsert a batch. ``seq`` orders writes of one key, ``deleted`` marks removals."""
         rows = self._rules.folded_batch(batch, batch_id, seq, deleted)
-        rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).persist()
+        rows = rows.withColumn(BUCKET, self._bucket()).persist()
         try:
             # At most as many rows as there are buckets.
             self.touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
             before = self._versions(batch_id)
             old = self._rows({b: before[b] for b in self.touched if b in before})
             merged = rows if old is None else old.unionByName(rows)
-            # The bucket is fixed by the key, so grouping by both keeps it, and one shuffle serves the files too.
+            # The bucket is fixed by the key, so grouping by both keeps it.
             done = self._rules.fold(merged, [BUCKET])
             done.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/v={batch_id}")
         finally:
@@ -64,7 +65,7 @@ class BucketedTable:
 
     def read_buckets(self, keys: DataFrame) -> DataFrame:
         """Rows of the given keys; only their buckets are read."""
-        wanted = keys.select(F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)).distinct().collect()
+        wanted = keys.select(self._bucket().alias(BUCKET)).distinct().collect()
         versions = self._versions()
         rows = self._rows({r[0]: versions[r[0]] for r in wanted if r[0] in versions})
         if rows is None:
@@ -74,9 +75,12 @@ class BucketedTable:
     def _rows(self, versions: dict[int, int]) -> DataFrame | None:
         if not versions:
             return None
-        schema = T.StructType([*self._rules.stored.fields, T.StructField(BUCKET, T.IntegerType())])
+        # The folders are read by name: no part of their path becomes a column.
         paths = [f"{self.path}/v={v}/{BUCKET}={b}" for b, v in sorted(versions.items())]
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(*schema.fieldNames())
+        return self.spark.read.schema(self._rules.stored).parquet(*paths).withColumn(BUCKET, self._bucket())
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _versions(self, before: int | None = None) -> dict[int, int]:
         """The version of each bucket in the newest finished list."""
