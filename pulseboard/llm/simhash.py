@@ -234,15 +234,28 @@ def _result(marked: DataFrame, parts: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without the others of their component: the smallest id stays.
 
-    Rows without an id stay as they are. Of rows repeated with the same id and text one stays.
+    Rows without an id stay as they are. Rows that share an id are judged by their own texts. Of rows repeated with the same id and text one
+    stays, that with the least hash of all its columns.
     """
-    marks = near_duplicates(docs, id_col, text_col)
-    key, gone, rows, copy = (free_name(docs.columns, n) for n in ("dup_id", "dup_gone", "dup_rows", "dup_copy"))
-    flags = (marks.where("doc_id is not null").groupBy(F.col("doc_id").alias(key))
-             .agg(F.max(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))).alias(gone),
-                  F.count("*").alias(rows))
+    bounded_batches()
+    key, look, gone, rows, copy = (free_name(docs.columns, n) for n in ("dup_id", "dup_look", "dup_gone", "dup_rows", "dup_copy"))
+    marked = stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias(look),
+                               fingerprint(F.col(text_col)).alias("fp")), "prints")
+    nodes = stage(marked.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("label")), "nodes")
+    # Fingerprints of rows without an id still link others; they never are the smallest.
+    nameless = marked.where("doc_id is null").select("fp").distinct().join(nodes.select("fp"), "fp", "left_anti")
+    if nameless.isEmpty():
+        parts = components(nodes, links(nodes.select("fp")))
+    else:
+        every = stage(nodes.select("fp").unionByName(nameless), "every")
+        parts = components(every.select("fp", F.col("fp").alias("label")), links(every))
+        named = parts.join(nodes.select("fp", F.col("label").alias("id")), "fp")
+        parts = named.join(named.groupBy("label").agg(F.min("id").alias("smallest")), "label").select("fp", F.col("smallest").alias("label"))
+    flags = (marked.where("doc_id is not null").join(parts, "fp").groupBy(F.col("doc_id").alias(key), look)
+             .agg(F.max(F.col("doc_id") != F.col("label")).alias(gone), F.count("*").alias(rows))
              .where(F.col(gone) | (F.col(rows) > 1)))
-    kept = docs.join(flags, docs[id_col].cast("long") == flags[key], "left").where(~F.coalesce(F.col(gone), F.lit(False)))
-    order = Window.partitionBy(key, text_col).orderBy(F.lit(1))
+    same = (docs[id_col].cast("long") == flags[key]) & (F.xxhash64(docs[text_col]) == flags[look])
+    kept = docs.join(flags, same, "left").where(~F.coalesce(F.col(gone), F.lit(False)))
+    order = Window.partitionBy(key, look).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
     once = kept.where(F.col(rows).isNotNull()).withColumn(copy, F.row_number().over(order)).where(F.col(copy) == 1)
     return kept.where(F.col(rows).isNull()).unionByName(once.drop(copy)).select(*docs.columns)
