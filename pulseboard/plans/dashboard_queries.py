@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import functions as F
 
 from pulseboard.functions import times
 from pulseboard.operators import aggregates as ag
+from pulseboard.operators.merging import LatestWithTotal, Reduce, merged
 from pulseboard.operators.ordered import global_row_number, running, running_distinct
 from pulseboard.operators.pattern import alert_rows, followed_by
 from pulseboard.operators.topk import top_overall, top_per_group
@@ -84,6 +87,15 @@ def agg6(spark, folder):
     return ag.latest_with_total(behaviour(spark, folder), "uid", ["time", "event_id"], "phone_type", "click_count")
 
 
+@query("agg6_total_with_latest_merged", f"""
+    SELECT uid, arg_max(phone_type, (time, event_id)) AS phone_type, CAST(sum(click_count) AS BIGINT) AS cnt
+    FROM {BEHAVIOUR} GROUP BY uid""")
+def agg6_merged(spark, folder):
+    """As a user's own aggregate: partials per task, merged as a tree."""
+    rows = behaviour(spark, folder).select("uid", "time", "event_id", "phone_type", "click_count")
+    return merged(rows, ["uid"], LatestWithTotal(["time", "event_id"], "phone_type", "click_count"), "phone_type string, cnt bigint")
+
+
 # Local day of a zone eight hours ahead: it starts at 16:00 UTC.
 DAY_TOTALS = f"""SELECT date_trunc('day', ts + INTERVAL 8 HOUR) - INTERVAL 8 HOUR AS window_start,
     date_trunc('day', ts + INTERVAL 8 HOUR) + INTERVAL 16 HOUR AS window_end, category,
@@ -111,6 +123,11 @@ def agg9(spark, folder):
     return amounts(spark, folder).agg(F.sum("value").alias("total"))
 
 
+@query("agg9_global_reduce_merged", f"SELECT CAST(sum(value) AS BIGINT) AS total FROM {AMOUNTS}")
+def agg9_merged(spark, folder):
+    return merged(amounts(spark, folder).select("value"), [], Reduce("value", operator.add), "total bigint")
+
+
 @query("agg10_window_members", f"""
     SELECT strftime(date_trunc('hour', ts), '%Y%m%d%H%M%S') AS window_from,
         strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y%m%d%H%M%S') AS window_to,

@@ -110,6 +110,21 @@ def several(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return write
 
 
+def mark_folders(folders: DataFrame, root: str, parts: Sequence[str]) -> None:
+    """Put a success file into each partition folder; the tasks that hold the rows do it. Marking twice does no harm."""
+    names = list(parts)
+
+    def mark(rows) -> None:
+        from pyarrow.fs import FileSystem
+
+        system, base = FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        for row in rows:
+            folder = "/".join(f"{p}={row[p]}" for p in names)
+            system.open_output_stream(f"{base}/{folder}/_SUCCESS").close()
+
+    folders.select(*names).foreachPartition(mark)
+
+
 class CommittingPartitions:
     """Partitioned parquet target that marks a partition once no more rows are due.
 
@@ -148,6 +163,14 @@ class CommittingPartitions:
         """The complete partitions, as a catalogue of the table would list them."""
         return self.spark.read.parquet(f"{self.path}/committed").select(*self.parts).distinct()
 
+    def publish(self, name: str) -> DataFrame:
+        """Make the rows of complete partitions visible as the view ``name``."""
+        rows = self.spark.read.parquet(f"{self.path}/data").drop("batch")
+        done = self.committed()
+        complete = rows.join(done, [rows[p].cast("string").eqNullSafe(done[p].cast("string")) for p in self.parts], "left_semi")
+        complete.createOrReplaceTempView(name)
+        return complete
+
     def _track(self, batch: DataFrame, batch_id: int) -> None:
         seconds = int(self.grain.total_seconds())
         start = F.timestamp_seconds(F.floor(F.unix_timestamp(self.ts) / seconds) * seconds)
@@ -167,9 +190,7 @@ class CommittingPartitions:
             behind = (self.delay + self.wait + self.grain) // timedelta(microseconds=1)
             due = F.unix_micros("part_start") <= F.lit(newest - behind)
         state.where(due).select(*self.parts).write.mode("overwrite").parquet(f"{self.path}/committed/n={batch_id}")
-        # One row per folder that became complete in this step.
-        for row in self._load("committed", batch_id).coalesce(1).toLocalIterator():
-            self._mark(row)
+        mark_folders(self._load("committed", batch_id), f"{self.path}/data", self.parts)
         # The newest row stays, it carries the watermark.
         rest = state.where(~due | (F.unix_micros("max_ts") == F.lit(newest)))
         rest.write.mode("overwrite").parquet(f"{self.path}/pending/n={batch_id}")
@@ -186,9 +207,3 @@ class CommittingPartitions:
     def _exists(self, path: str) -> bool:
         fs, target = self._fs(path)
         return fs.exists(target)
-
-    def _mark(self, row) -> None:
-        folder = "/".join(f"{p}={row[p]}" for p in self.parts)
-        fs, target = self._fs(f"{self.path}/data/{folder}/_SUCCESS")
-        if not fs.exists(target):
-            fs.create(target, True).close()
