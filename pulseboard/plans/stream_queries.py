@@ -31,6 +31,7 @@ from pulseboard.sources.topic import Topic, json_topic, raw_topic
 from pulseboard.streaming import dashboards as db
 from pulseboard.streaming.runtime import drain, event_time, text_rows
 from pulseboard.streaming.sequence import followed_by_join
+from pulseboard.streaming.state import top_rooms_with_timers
 from pulseboard.streaming.totals import best_overall, rolling_totals
 
 # Finished windows: the watermark is the largest event time, cut to milliseconds, minus three seconds.
@@ -87,12 +88,14 @@ def src1_stream(spark, folder):
 
 
 @query("src2_raw_topic_stream", """
-    SELECT CAST(event_id AS VARCHAR) AS id_text FROM events WHERE event_id % 50 = 0""")
+    SELECT CAST(event_id AS VARCHAR) AS id_text, event_id % 50 = 0 AS broken FROM events""")
 def src2_stream(spark, folder):
+    """All lines of the topic as they are, the broken ones among them."""
     job = Job(spark, "src2")
     lines = raw_topic(job.session, Topic(path=tq.stored_topic(spark, folder)))
-    broken = lines.where(F.col("value").startswith("{broken ")).select(text.tail("value", 9).alias("id_text"))
-    return job.append(broken)
+    broken = F.col("value").startswith("{broken ")
+    number = F.when(broken, text.tail("value", 9)).otherwise(F.get_json_object("value", "$.event_id"))
+    return job.append(lines.select(number.alias("id_text"), broken.alias("broken")))
 
 
 @query("src10_monitored_table_stream", """
@@ -145,6 +148,16 @@ def top2_stream(spark, folder):
     return dq.borders_at_rest(job.rows(schema)).select("window_end", "room_id", "cnt", "rownum")
 
 
+@query("st8_top_rooms_timers_stream", f"SELECT * FROM ({dq.TOP_ROOMS}) WHERE {PASSED}")
+def st8_stream(spark, folder):
+    """The same ranking by keyed state: a window's best rooms are given out by a timer at its end, and forgotten."""
+    job = Job(spark, "st8")
+    rooms = as_rooms(event_stream(job.session, folder))
+    totals = db.window_totals(rooms, "ts", "action", ["room_id"], dq.SLIDE_SIZE, dq.SLIDE_STEP)
+    best = top_rooms_with_timers(totals.select("window_end", "room_id", "cnt"))
+    return dq.borders_at_rest(job.append(best)).select("window_end", "room_id", "cnt", "rownum")
+
+
 @query("top1_two_phase_stream", f"""
     SELECT window_start, room_id, cnt, rownum FROM (
         SELECT *, row_number() OVER (ORDER BY cnt DESC, window_start, room_id) AS rownum

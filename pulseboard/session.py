@@ -30,6 +30,16 @@ def build_session(app: str = "pulseboard", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster where it is not installed."""
+    import shutil
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='code-')}/{package.name}", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Event times carry no zone; every operator reads them as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
