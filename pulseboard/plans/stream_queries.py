@@ -430,8 +430,7 @@ def snk14_stream(spark, folder):
     topic = f"{job.base}/topic"
 
     def publish(batch, batch_id):
-        records = batch.select(F.to_json(F.struct("hour", "uid", "n")).alias("value"))
-        records.write.mode("overwrite").text(f"{topic}/batch={batch_id}")
+        files.to_topic(batch.select("hour", "uid", "n"), topic, batch_id=batch_id)
 
     job.run(views, publish, "update")
     schema = T.StructType([

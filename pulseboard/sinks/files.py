@@ -39,9 +39,13 @@ def raw_documents(df: DataFrame, index: str, value: str = "value") -> DataFrame:
     return df.select(F.lit(index).alias("index_name"), F.col(value).alias("doc"))
 
 
-def save_documents(docs: DataFrame, path: str) -> None:
-    """One document per line, one folder per index."""
-    docs.select("doc", "index_name").write.mode("append").partitionBy("index_name").text(path)
+def save_documents(docs: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """One document per line, one folder per index. With ``batch_id`` a repeated batch replaces itself, else each call appends."""
+    rows = docs.select("doc", "index_name").write.partitionBy("index_name")
+    if batch_id is None:
+        rows.mode("append").text(path)
+    else:
+        rows.mode("overwrite").text(f"{path}/batch={batch_id}")
 
 
 def well_formed(docs: DataFrame, value: str = "doc") -> tuple[DataFrame, DataFrame]:
@@ -65,10 +69,12 @@ def with_retries(write: Callable[[DataFrame, int], None], attempts: int = 3,
     return guarded
 
 
-def to_topic(df: DataFrame, path: str = "", servers: str = "", name: str = "") -> None:
-    """Rows as JSON records of a topic."""
+def to_topic(df: DataFrame, path: str = "", servers: str = "", name: str = "", batch_id: int | None = None) -> None:
+    """Rows as JSON records of a topic. In a folder, a repeated batch replaces itself if ``batch_id`` is given; a message bus gets it twice."""
     records = df.select(encode_json(*df.columns).alias("value"))
-    if path:
+    if path and batch_id is not None:
+        records.write.mode("overwrite").text(f"{path}/batch={batch_id}")
+    elif path:
         records.write.mode("append").text(path)
     else:
         records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", name).save()
