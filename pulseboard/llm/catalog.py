@@ -58,12 +58,14 @@ FROM q
 """
 
 TOPK_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS near, q.v AS a, c.v AS b
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+exact AS (SELECT query_id, vec_id, CASE WHEN list_dot_product(list_transform(a, lambda x: abs(x)::DOUBLE), list_transform(b, lambda x: abs(x)::DOUBLE)) < 9007199254740992
+                 THEN near::BIGINT ELSE list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * b[i]))::BIGINT END AS score FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM exact) WHERE rank <= 20
 """
 
 #: crc32 by bits; one row per state and conversation goes through the rows by recursion, the least of the cheapest edits is kept.

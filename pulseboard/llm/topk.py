@@ -35,6 +35,11 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite, F.lit(False))
 
 
+def _floor(x: Column) -> Column:
+    """Floor as a double; beyond 2^52 a double has no fraction (and ``floor`` gives a long)."""
+    return F.when(F.abs(x) < float(2**52), F.floor(x).cast("double")).otherwise(x)
+
+
 def resolutions(dim: int) -> list[np.ndarray]:
     """Segment starts per resolution, coarse to fine: 1, 2, 4, ... segments, up to one per four components."""
     counts, n = [], 1
@@ -65,7 +70,8 @@ class Best:
     def add(self, query: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
         if not len(query):
             return
-        order = np.lexsort((vec, -score, query))
+        order = (np.lexsort((vec, -score, query)) if score.dtype != object
+                 else np.array(sorted(range(len(query)), key=lambda n: (query[n], -score[n], vec[n]))))
         query, score, vec = query[order], score[order], vec[order]
         found, first = np.unique(query, return_index=True)
         for q, lo, hi in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(query)], strict=True):
@@ -77,12 +83,25 @@ class Best:
                 self.floor[q] = -self.rows[q][-1][0]
 
 
+def _exact(x: np.ndarray, most: float) -> np.ndarray:
+    """Components in numbers that hold every partial sum of a product of up to ``most``: doubles, 64-bit or Python's integers."""
+    if most < 2.0**53:
+        return x
+    return x.astype(np.int64) if most < 2.0**63 else np.array([[int(c) for c in row] for row in x], object)
+
+
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Euclidean lengths; components near the largest double do not overflow on the way."""
+    unit = np.maximum(np.abs(x).max(axis=1, initial=0), 1)
+    return unit * np.sqrt(np.einsum("ij,ij->i", x / unit[:, None], x / unit[:, None]))
+
+
 def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Inner products of the rows ``a[i]`` and ``b[j]``, some at a time."""
-    out = np.empty(len(i))
+    out = np.empty(len(i), a.dtype)
     for cut in range(0, len(i), 50_000):
         part = slice(cut, cut + 50_000)
-        out[part] = np.einsum("ij,ij->i", a[i[part]], b[j[part]])
+        out[part] = (a[i[part]] * b[j[part]]).sum(axis=1) if a.dtype == object else np.einsum("ij,ij->i", a[i[part]], b[j[part]])
     return out
 
 
@@ -91,35 +110,40 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     exact = 0
     levels = resolutions(queries.shape[1])
     ours = [profile(queries, s) for s in levels]
+    reach, their_reach = _lengths(queries), _lengths(vectors)
     # Long vectors first raise the floors early; the first tile is small, as nothing can be dropped before the floors stand.
-    order = np.argsort(-np.einsum("ij,ij->i", vectors, vectors), kind="stable")
+    order = np.argsort(-their_reach, kind="stable")
     starts = [0, *range(FIRST_TILE, len(order), TILE)]
     for at, end in zip(starts, [*starts[1:], len(order)], strict=True):
         part = order[at:end]
-        floor = best.floor - 1e-6 * (1 + np.abs(np.where(np.isfinite(best.floor), best.floor, 0)))
+        # No partial sum of a product goes beyond the product of the lengths. Bounds are doubles and err by a small share of it.
+        most = reach * their_reach[part[0]]
+        floor = best.floor - 1e-6 * (1 + most)
         alive = query_ids[:, None] != ids[part][None, :]
         q = c = None
         for mine, starts_of in zip(ours, levels, strict=True):
             their = profile(vectors[part], starts_of)
             if q is None:
-                alive &= mine @ their.T >= floor[:, None]
+                alive &= ~(mine @ their.T < floor[:, None])
                 if np.count_nonzero(alive) < FEW * alive.size:
                     q, c = np.nonzero(alive)
             else:
-                keep = _products(mine, their, q, c) >= floor[q]
+                keep = ~(_products(mine, their, q, c) < floor[q])
                 q, c = q[keep], c[keep]
         # Survivors: pair by pair where few are left, else from one product of the tile.
+        widest = most.max(initial=0) * 1.001
+        ask, answer = _exact(queries, widest), _exact(vectors[part], widest)
         if q is None:
             exact += np.count_nonzero(alive)
-            table = queries @ vectors[part].T
+            table = ask @ answer.T
             q, c = np.nonzero(alive & (table >= floor[:, None]))
             score = table[q, c]
         else:
             exact += len(q)
-            score = _products(queries, vectors[part], q, c)
+            score = _products(ask, answer, q, c)
             keep = score >= floor[q]
             q, c, score = q[keep], c[keep], score[keep]
-        best.add(q, np.rint(score).astype(np.int64), ids[part[c]])
+        best.add(q, score.astype(np.int64) if score.dtype != object else score, ids[part[c]])
     return exact
 
 
@@ -158,13 +182,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     Components are taken as floor(64 x). Vectors that are null, empty, or hold null or non-finite components, and rows
     without an id, take no part. Vectors of different length are not compared. A query is not compared with rows of its own id;
-    queries repeated under one id are one, with the smallest of their vectors. Fewer than ``k`` candidates are all given; an empty table gives no rows.
+    queries repeated under one id are one, with the smallest of their vectors. Scores are exact integers at any size of the components;
+    one among a task's best that a long cannot hold ends the search with an ``OverflowError``. Fewer than ``k`` candidates are all given; an empty table gives no rows.
     The number of candidate groups, if not given, grows with the candidates, so that a group stays at about ``GROUP_BYTES``.
     """
     spark = vectors.sparkSession
     whole = (vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
              .select(F.col(id_col).cast("long").alias("vec_id"),
-                     F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("double")).alias("v"), is_query.alias("q"))
+                     F.transform(vector_col, lambda x: _floor(x.cast("double") * SCALE)).alias("v"), is_query.alias("q"))
              .withColumn("dim", F.size("v")))
     candidates = stage(candidate_blocks(whole.select("vec_id", "v", "dim"), block_rows), "candidates")
     asked = whole.where("q").groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
@@ -188,6 +213,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 numbers = np.frombuffer(their_ids, np.int64)
                 search_block(queries, query_ids, np.frombuffer(their_data, np.float64).reshape(len(numbers), dim), numbers, best)
             rows += [(int(q), -s, v) for q, found in zip(query_ids, best.rows, strict=True) for s, v in found]
+        if any(abs(s) >= 2**63 for _, s, _ in rows):
+            raise OverflowError("an inner product is beyond a long")
         return pd.DataFrame(rows, columns=["query_id", "score", "vec_id"]).astype("int64")
 
     near = own.unionByName(asks).groupBy("qb", "g").applyInPandas(best_of, "query_id long, score long, vec_id long")

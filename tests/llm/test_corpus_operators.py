@@ -1,6 +1,7 @@
 """The corpus operators against plain versions, and on nulls, empty and long texts, ties, repeats and empty tables."""
 
 import hashlib
+import math
 import re
 import sys
 from pathlib import Path
@@ -304,6 +305,27 @@ def test_topk_equals_plain_search(spark):
     assert topk.search(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_is_exact_for_large_components(spark):
+    rng = np.random.default_rng(3)
+    for size in (4e5, 1e7):  # scores about and far beyond 2^53
+        rows = [(i, (rng.standard_normal(6) * size).tolist()) for i in range(60)]
+        got = sorted(tuple(r) for r in topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                                                   F.col("vec_id") % 20 == 0, k=7, query_rows=2, block_rows=16, groups=2).collect())
+        whole = {i: [math.floor(x * 64) for x in v] for i, v in rows}
+        want = []
+        for i in range(0, 60, 20):
+            scored = sorted((-sum(a * b for a, b in zip(whole[i], v, strict=True)), j) for j, v in whole.items() if j != i)
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:7])]
+        assert got == sorted(want)
+    best = topk.Best(1, 2)
+    huge = np.array([[1e17, -1e17, 3.0]])
+    topk.search_block(huge, np.array([1]), np.vstack([huge, huge + [[0, 0, 1]]]), np.array([5, 4]), best)
+    assert [(-s, v) for s, v in best.rows[0]] == [(2 * 10**34 + 12, 4), (2 * 10**34 + 9, 5)]
+    table = spark.createDataFrame([(0, [1e17, 1.0]), (1, [1e17, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a long"):
+        topk.search(table, F.col("vec_id") % 20 == 0).collect()
+
+
 def plain_components(prints):
     ids = sorted(prints)
     parent = {i: i for i in ids}
