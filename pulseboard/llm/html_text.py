@@ -5,7 +5,8 @@ words, hashed), of its words (hashed), and a few plain measures. A bidirectional
 every block is classified with the document around it; blocks labelled as main text are joined.
 
 It is trained on a bounded sample of pages whose own markup says what is main text (``article``, ``main``), with those
-tags hidden or renamed in part of the sequences, and with blocks of the kinds to leave out put in between.
+tags hidden or renamed in part of the sequences, with blocks of the kinds to leave out put in between, and with lists, quotations, code,
+tables, captions and headings among the main text. If no page of the sample says so, pages are made around its texts.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import html
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -29,7 +30,9 @@ INPUT = PATH_DIM + WORD_DIM + PLAIN
 HIDDEN = 16
 TRAIN_PAGES = 240
 TRAIN_CHARS = 60_000
-STEPS = 220
+#: A training sequence is this many blocks of its page on end at most, from a place drawn at random.
+TRAIN_BLOCKS = 200
+STEPS = 400
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>?|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -52,12 +55,19 @@ _OPTIONS = frozenset("option optgroup".split())
 _LEFT_OUT = frozenset("nav footer aside form button menu dialog label fieldset".split())
 _OUT_WORDS = re.compile(r"\b(?:ad|ads|advert\w*|banner|cookie\w*|consent|notice|comments?|respond|sidebar|menu|nav\w*|promo\w*|share|sharing|"
                         r"social|related|subscribe|newsletter|breadcrumbs?|footer|widget|popup|modal)\b")
-_PLACES = (("div", "content"), ("div", "post"), ("div", "entry body"), ("section", "story"), ("div", ""), ("td", "text"))
+_PLACES = (("main", ""), ("article", "post"), ("div", "content"), ("div", "post"), ("div", "entry body"), ("section", "story"), ("div", ""), ("td", "text"))
 _NOISE = (("aside", ""), ("div", "sidebar"), ("section", "comments"), ("div", "comment"), ("ul", "comment list"), ("form", "search"),
           ("header", ""), ("div", "cookie notice"), ("div", "ad"), ("div", "advert"), ("nav", ""), ("div", "menu"), ("footer", ""),
           ("div", "related"), ("div", "share social"), ("div", "newsletter subscribe"), ("div", "banner promo"))
 
 
+#: Forms that text takes inside and outside of the main part; training puts both kinds of text into all of them.
+_FORMS = ((("ul", ""), ("li", "")), (("ol", ""), ("li", "")), (("pre", ""),), (("blockquote", ""),), (("blockquote", ""), ("p", "")),
+          (("table", ""), ("tbody", ""), ("tr", ""), ("td", "")), (("table", ""), ("tr", ""), ("th", "")), (("table", ""), ("caption", "")),
+          (("figure", ""), ("figcaption", "")), (("dl", ""), ("dt", "")), (("dl", ""), ("dd", "")), (("address", ""),), (("section", ""), ("p", "")),
+          (("div", ""),), (("div", ""), ("p", "")), (("details", ""), ("summary", "")), *(((f"h{n}", ""),) for n in range(1, 7)))
+
+
 @dataclass
 class Block:
     """A run of text between block borders. ``path`` has (tag, names) from the outermost element on."""
@@ -294,7 +304,6 @@ class Model:
     backward: Lstm
     out: np.ndarray
     bias: np.ndarray
-    trained: bool = field(default=True)
 
     def read(self, x: np.ndarray, mask: np.ndarray, keep: bool = False) -> tuple:
         a, tape_a = self.forward.run(x, mask, keep)
@@ -352,32 +361,64 @@ def _varied(page: list[Block], others: list[str], rng: np.random.Generator) -> l
         if path and path[-1][0] == "h1" and rng.random() < 0.6:
             path = (*path[:-1], (f"h{rng.integers(2, 5)}", ""))
         out.append(Block(b.text, path, b.linked, b.label))
+    inner = [k for k, b in enumerate(out) if b.label == 1]
+    # From the last place on, so that the places before stay where they are.
+    picked = set(rng.choice(inner, min(len(inner), int(rng.integers(0, 4))), replace=False).tolist()) if inner else set()
+    if inner and rng.random() < 0.4:
+        picked.add(inner[0])
+    for k in sorted(picked, reverse=True):
+        ahead = rng.random() < (0.6 if k == inner[0] else 0.2)
+        form = _FORMS[rng.integers(len(_FORMS))]
+        path = out[k].path[:-1]
+        for _ in range(rng.integers(1, 6)):
+            text = _cut(others, rng, 2, 200)
+            linked = int(rng.integers(len(text) + 1)) if rng.random() < 0.2 else 0
+            out.insert(k + (not ahead), Block(text, (*path, *form), linked, 1))
     for _ in range(rng.integers(0, 4)):
         tag = _NOISE[rng.integers(len(_NOISE))]
         at = int(rng.integers(len(out) + 1))
         base = out[min(at, len(out) - 1)].path[:int(rng.integers(1, 4))]
+        form = _FORMS[rng.integers(len(_FORMS))] if rng.random() < 0.5 else (("p", ""),) if rng.random() < 0.5 else ()
         for _ in range(rng.integers(1, 4)):
-            text = others[rng.integers(len(others))]
-            text = text[:int(rng.integers(10, 300))]
-            out.insert(at, Block(text or "x", (*base, tag, *([("p", "")] if rng.random() < 0.5 else [])),
-                                 len(text) if rng.random() < 0.3 else 0, 0))
+            text = _cut(others, rng, 10, 300)
+            out.insert(at, Block(text, (*base, tag, *form), len(text) if rng.random() < 0.3 else 0, 0))
+    return out
+
+
+def _cut(others: list[str], rng: np.random.Generator, least: int, most: int) -> str:
+    """Some text of the sample, begun anywhere."""
+    text = others[rng.integers(len(others))]
+    at = int(rng.integers(len(text)))
+    return text[at:at + int(rng.integers(least, most))].strip() or "x"
+
+
+def _made_pages(texts_of: list[str], rng: np.random.Generator, count: int = 40) -> list[list[Block]]:
+    """Labelled pages of usual build around the given texts, for samples in which no page marks its main text."""
+    texts_of = texts_of or [" ".join("abcdefghij"[k:k + 4] for k in range(8)) + "."]
+    out = []
+    for _ in range(count):
+        some = [html.escape(_cut(texts_of, rng, 4, 300)) for _ in range(int(rng.integers(8, 24)))]
+        page = blocks(f"<html><body><header><div>{some[0]}</div></header><nav><ul>{''.join(f'<li><a href=x>{t[:20]}</a></li>' for t in some[1:6])}</ul></nav>"
+                      f"<div class=ad>{some[6]}</div><article><h1>{some[7][:60]}</h1>{''.join(f'<p>{t}</p>' for t in some[8:])}</article>"
+                      f"<footer>{some[0][:50]}</footer></body></html>")
+        taught(page)
+        out.append(page)
     return out
 
 
 def train(pages: list[str], steps: int = STEPS, seed: int = 11) -> Model:
-    """Model from pages whose markup marks the main text; untrained (rules of the markup only) if there are none."""
+    """Model from pages whose markup marks the main text, or from pages made around the sample's texts if there are none."""
     rng = np.random.default_rng(seed)
     model = _fresh(rng)
-    known = [p for p in map(blocks, pages) if p and taught(p)]
+    read = [p for p in map(blocks, pages) if p]
+    known = [p for p in read if taught(p)] or _made_pages([b.text for p in read for b in p], rng)
     others = [b.text for p in known for b in p]
-    if not known:
-        model.trained = False
-        return model
     vectors = Vectors()
     weights = [model.forward.w, model.forward.u, model.forward.b, model.backward.w, model.backward.u, model.backward.b, model.out, model.bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
-        chosen = [_varied(known[k], others, rng)[:200] for k in rng.integers(len(known), size=16)]
+        chosen = [_varied(known[k], others, rng) for k in rng.integers(len(known), size=16)]
+        chosen = [p[(at := int(rng.integers(max(1, len(p) - TRAIN_BLOCKS + 1)))):at + TRAIN_BLOCKS] for p in chosen]
         x, mask = _padded([vectors.page(p) for p in chosen])
         y = np.zeros_like(mask)
         for k, p in enumerate(chosen):
@@ -401,12 +442,6 @@ def train(pages: list[str], steps: int = STEPS, seed: int = 11) -> Model:
 def extracted(pages: list[str], model: Model, vectors: Vectors | None = None) -> list[str]:
     """Main text per page: blocks labelled as such, in page order, joined by line ends."""
     lists = [blocks(p) for p in pages]
-    if not model.trained:
-        out = []
-        for page in lists:
-            kept = [b.text for b in page if not any(t in _LEFT_OUT or _OUT_WORDS.search(n) for t, n in b.path)]
-            out.append("\n".join(kept))
-        return out
     vectors = vectors or Vectors()
     marks = model.label([vectors.page(p) for p in lists])
     return ["\n".join(b.text for b, p in zip(page, mark, strict=True) if p >= 0.5) for page, mark in zip(lists, marks, strict=True)]

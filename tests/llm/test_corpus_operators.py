@@ -120,6 +120,25 @@ def test_two_stage_sorting_orders_suffixes(letters):
         assert common[k] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
+def test_lists_quotations_code_and_captions_are_main_text(spark, folder):
+    sample = [r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").where("html <> ''").limit(200).collect()]
+    body = ("<h1>Title</h1><p>First paragraph of the text.</p><ul><li>one item</li><li>second item here</li></ul><pre>x = 1\ny = 2</pre>"
+            "<blockquote>To be or not to be.</blockquote><figure><img src=a><figcaption>The caption of it</figcaption></figure>"
+            "<table><tr><th>Name</th><td>Bob</td></tr></table><dl><dt>Term</dt><dd>Its meaning.</dd></dl><h4>Sub</h4><p>Last words.</p>")
+    want = ["Title", "First paragraph of the text.", "one item", "second item here", "x = 1 y = 2", "To be or not to be.", "The caption of it",
+            "Name", "Bob", "Term", "Its meaning.", "Sub", "Last words."]
+    # The second model has no page that marks its main text.
+    for model in (html_text.train(sample), html_text.train([p.replace("article>", "div>") for p in sample])):
+        for first, last in (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>")):
+            page = (f"<html><head><title>x</title></head><body><nav><ul><li><a href=x>Home</a></li><li><a href=y>About us</a></li></ul></nav>"
+                    f'<div class="ad">Buy this now</div>{first}{body}{last}<footer>Imprint</footer></body></html>')
+            assert html_text.extracted([page], model)[0].split("\n") == want
+    long = "<body><article><p>" + "word " * 400_000 + "</p></article></body>"
+    assert len(html_text.extracted([long], model)[0]) == 5 * 400_000 - 1
+    clash = spark.createDataFrame([(1, "u", sample[0], "a", 3)], "page_id long, url string, html string, text string, n_chars int")
+    assert html_text.extract_pages(clash, model).columns == ["page_id", "url", "text", "n_chars"]
+
+
 def test_html_text_of_marked_and_unmarked_pages(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     model = html_text.fit(pages)
@@ -212,7 +231,8 @@ def test_bpe_equals_the_library(odd, docs):
     ranks, pattern = tokenizer()
     own = bpe.Coder(ranks)
     theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=own.ranks, special_tokens={})
-    texts = [t for _, t in ODD] + ["ab" * 4_000 + " it's <|endoftext|>  \n\n x\t y", "zq" * 500 + "é" * 900] + [r["text"] for r in docs.limit(60).collect()]
+    texts = [t for _, t in ODD] + ["ab" * 4_000 + " it's <|endoftext|>  \n\n x\t y", "zq" * 500 + "é" * 900,
+             "a" * 5_001, "the" * 2_000, "".join("aein"[(k * k + k // 7) % 4] for k in range(5_000))] + [r["text"] for r in docs.limit(60).collect()]
     import pyarrow as pa
     for text, (n, ids, raw) in zip(texts, bpe.encoded_rows(pa.array(texts), ranks, pattern), strict=True):
         want = theirs.encode_ordinary(text or "")
