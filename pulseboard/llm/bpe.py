@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,9 +22,17 @@ from pulseboard.llm.arrow_text import bounded_batches, pieces, texts
 
 #: Words kept per worker between batches; when full the memory is emptied, which costs time only.
 KEPT_WORDS = 400_000
-#: Stretches of a word longer than this (bytes) are contracted with a heap, in the same order, as the recursion
-#: takes a step per merge over all rows of the word.
-RECURSED_BYTES = 2_000
+#: Words of up to this many bytes are not looked through for places to cut.
+UNCUT_BYTES = 64
+#: Stretches of a word longer than this (bytes) go through ``CONTRACT_RUNS``: the same contractions, many in a step.
+LONG_BYTES = 200
+
+_FIXPOINT = """
+SELECT s.word, count(*) AS n, string_agg(s.token::VARCHAR, ',' ORDER BY s.pos) AS ids,
+       unhex(string_agg(hex(v.bytes), '' ORDER BY s.pos)) AS decoded
+FROM state s JOIN vocabulary v ON v.token = s.token
+WHERE s.done GROUP BY s.word
+"""
 
 CONTRACT = """
 WITH RECURSIVE state(word, pos, token, done) AS (
@@ -36,16 +43,44 @@ WITH RECURSIVE state(word, pos, token, done) AS (
         FROM (SELECT word, pos, token, lead(token) OVER w AS follower, lag(pos) OVER w AS before
               FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)) p
         LEFT JOIN merges m ON m.left_token = p.token AND m.right_token = p.follower),
-      best AS (SELECT word, min(rank * 4294967296 + pos) AS best FROM pairs GROUP BY word)
+      best AS (SELECT word, min(rank::BIGINT * 4294967296 + pos) AS best FROM pairs GROUP BY word)
      SELECT word, pos, CASE WHEN pos = best % 4294967296 THEN rank ELSE token END, best IS NULL
      FROM pairs JOIN best USING (word)
      WHERE best IS NULL OR before IS DISTINCT FROM best % 4294967296)
-)
-SELECT s.word, count(*) AS n, string_agg(s.token::VARCHAR, ',' ORDER BY s.pos) AS ids,
-       unhex(string_agg(hex(v.bytes), '' ORDER BY s.pos)) AS decoded
-FROM state s JOIN vocabulary v ON v.token = s.token
-WHERE s.done GROUP BY s.word
-"""
+)""" + _FIXPOINT
+
+#: A step takes a word's places of the smallest rank from the left, every second one where they overlap, up to the first
+#: whose outcome could pair with a neighbour at a smaller rank still (``lower`` has those merges): there the order changes.
+CONTRACT_RUNS = """
+WITH RECURSIVE state(word, pos, token, done) AS (
+    SELECT word, pos, token, false FROM start
+  UNION ALL
+    (WITH pairs AS MATERIALIZED (
+        SELECT p.*, m.rank
+        FROM (SELECT word, pos, token, lead(token) OVER w AS follower, lead(token, 2) OVER w AS second, lag(token) OVER w AS former,
+                     lag(pos) OVER w AS before, row_number() OVER w AS k
+              FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)) p
+        LEFT JOIN merges m ON m.left_token = p.token AND m.right_token = p.follower),
+      best AS MATERIALIZED (SELECT word, min(rank) AS best FROM pairs GROUP BY word),
+      hits AS (
+        SELECT word, pos, former, second, best, k, k - row_number() OVER (PARTITION BY word ORDER BY k) AS run
+        FROM pairs JOIN best USING (word) WHERE rank = best),
+      chosen AS MATERIALIZED (
+        SELECT word, pos, former, second, best FROM hits
+        QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY k) % 2 = 1),
+      turns AS (
+        SELECT c.word, min(c.pos) AS last FROM chosen c
+        JOIN lower l ON l.made = c.best AND (l.left_token IN (c.former, c.best) AND l.right_token = c.best
+                                             OR l.left_token = c.best AND l.right_token IN (c.second, c.best))
+        GROUP BY c.word),
+      taken AS MATERIALIZED (
+        SELECT c.word, c.pos, c.best FROM chosen c LEFT JOIN turns t USING (word) WHERE t.last IS NULL OR c.pos <= t.last)
+     SELECT p.word, p.pos, coalesce(t.best, p.token), b.best IS NULL
+     FROM pairs p JOIN best b ON b.word = p.word
+     LEFT JOIN taken t ON t.word = p.word AND t.pos = p.pos
+     LEFT JOIN taken gone ON gone.word = p.word AND gone.pos = p.before
+     WHERE gone.pos IS NULL)
+)""" + _FIXPOINT
 
 
 def read_ranks(path: str) -> bytes:
@@ -71,12 +106,15 @@ class Coder:
                     left.append(a)
                     right.append(b)
                     merged.append(number)
-        self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.pair_rank = dict(zip(zip(left, right, strict=True), merged, strict=True))
+        self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
-        vocabulary = pa.table({"token": pa.array(self.spelled, pa.int64()), "bytes": pa.array(self.spelled.values(), pa.binary())})
-        merges = pa.table({"left_token": left, "right_token": right, "rank": merged})
-        for name, table in (("vocabulary", vocabulary), ("merges", merges)):
+        vocabulary = pa.table({"token": pa.array(self.spelled, pa.int32()), "bytes": pa.array(self.spelled.values(), pa.binary())})
+        names = ("left_token", "right_token", "rank", "made")
+        merges = pa.table({n: pa.array(c, pa.int32()) for n, c in zip(names, (left, right, merged), strict=False)})
+        # Merges that take in a token made at a larger rank.
+        rows = [(a, b, m, made) for a, b, m in zip(left, right, merged, strict=True) for made in {a, b} if m < made]
+        lower = pa.table({n: pa.array([r[k] for r in rows], pa.int32()) for k, n in enumerate(names)})
+        for name, table in (("vocabulary", vocabulary), ("merges", merges), ("lower", lower)):
             self.db.register("rows", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
             self.db.unregister("rows")
@@ -92,89 +130,63 @@ class Coder:
             self._learn(fresh[at:at + 100_000])
 
     def _learn(self, words: list[str]) -> None:
-        parts: list[list] = []  # per word the places of its stretches in ``stretches``, or its ids
+        known, ranks = self.known, self.ranks
+        plain: list[str] = []  # words of one stretch, and their bytes
+        raws: list[bytes] = []
+        whole: list[tuple[str, int]] = []
+        cut: list[tuple[str, int, int]] = []  # words of several stretches: where those begin and end in ``stretches``
         stretches: list[bytes] = []
         for word in words:
             raw = word.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:  # a word that is a token itself is that token
-                parts.append([(whole,)])
-                continue
-            own: list = []
-            for piece in self._stretches(raw):
-                if len(piece) > RECURSED_BYTES:
-                    own.append(tuple(self._by_heap(piece)))
-                else:
-                    own.append(len(stretches))
-                    stretches.append(piece)
-            parts.append(own)
-        ready = self._recurse(stretches)
-        given = self._decode([p for own in parts for p in own if isinstance(p, tuple)])
-        for word, own in zip(words, parts, strict=True):
-            found = [ready[p] if isinstance(p, int) else given[p] for p in own]
-            self.known[word] = found[0] if len(found) == 1 else (
-                sum(n for n, _, _ in found), ",".join(ids for _, ids, _ in found), b"".join(b for _, _, b in found))
+            token = ranks.get(raw)
+            if token is not None:  # a word that is a token itself is that token
+                whole.append((word, token))
+            elif len(raw) <= UNCUT_BYTES:
+                plain.append(word)
+                raws.append(raw)
+            else:
+                first = len(stretches)
+                stretches += self._stretches(raw)
+                cut.append((word, first, len(stretches)))
+        known.update(zip(plain, self._recurse(raws, CONTRACT), strict=True))
+        known.update(zip([w for w, _ in whole], self._decode([t for _, t in whole]), strict=True))
+        if cut:
+            long = [k for k, s in enumerate(stretches) if len(s) > LONG_BYTES]
+            short = [k for k, s in enumerate(stretches) if len(s) <= LONG_BYTES]
+            ready = dict(zip(short, self._recurse([stretches[k] for k in short], CONTRACT), strict=True))
+            ready.update(zip(long, self._recurse([stretches[k] for k in long], CONTRACT_RUNS), strict=True))
+            for word, first, end in cut:
+                counts, ids, decoded = zip(*(ready[k] for k in range(first, end)), strict=True)
+                known[word] = sum(counts), ",".join(ids), b"".join(decoded)
 
     def _stretches(self, raw: bytes) -> list[bytes]:
         """Cut a long word where two bytes meet that no token holds together: no merge crosses there."""
-        if len(raw) <= 64:
-            return [raw]
         data = np.frombuffer(raw, np.uint8)
         cuts = np.flatnonzero(~self.meets[data[:-1], data[1:]]) + 1
         edges = [0, *cuts.tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    def _recurse(self, stretches: list[bytes]) -> list[tuple[int, str, bytes]]:
+    def _recurse(self, stretches: list[bytes], query: str) -> list[tuple[int, str, bytes]]:
         if not stretches:
             return []
         lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
-        word = np.repeat(np.arange(len(stretches)), lengths)
-        pos = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        word = np.repeat(np.arange(len(stretches), dtype=np.int32), lengths)
+        pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         token = self.byte_token[np.frombuffer(b"".join(stretches), np.uint8)]
         self.db.register("start", pa.table({"word": word, "pos": pos, "token": token}))
-        got = self.db.sql(CONTRACT).to_arrow_table()
+        got = self.db.sql(query).to_arrow_table()
         self.db.unregister("start")
-        out: list = [None] * len(stretches)
-        for k, n, ids, decoded in zip(*(got.column(c).to_pylist() for c in ("word", "n", "ids", "decoded")), strict=True):
-            out[k] = (n, ids, decoded)
-        return out
-
-    def _decode(self, rows: list[tuple[int, ...]]) -> dict[tuple[int, ...], tuple[int, str, bytes]]:
-        """Ids to bytes by ordered aggregation, for words that needed no contraction by query."""
-        rows = list(dict.fromkeys(rows))
-        if not rows:
-            return {}
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        table = pa.table({"word": np.repeat(np.arange(len(rows)), lengths),
-                          "pos": np.arange(int(lengths.sum())), "token": np.array([t for r in rows for t in r], np.int64)})
-        self.db.register("given", table)
-        got = self.db.execute(
-            "SELECT word, unhex(string_agg(hex(v.bytes), '' ORDER BY pos)) FROM given JOIN vocabulary v USING (token) GROUP BY word"
-        ).fetchall()
+        got = got.take(pa.array(np.argsort(got.column("word").to_numpy())))
+        return list(zip(*(got.column(c).to_pylist() for c in ("n", "ids", "decoded")), strict=True))
+
+    def _decode(self, tokens: list[int]) -> list[tuple[int, str, bytes]]:
+        """Words that are one token, decoded by the vocabulary table."""
+        if not tokens:
+            return []
+        self.db.register("given", pa.table({"pos": np.arange(len(tokens)), "token": np.array(tokens, np.int32)}))
+        got = self.db.execute("SELECT 1, token::VARCHAR, v.bytes FROM given JOIN vocabulary v USING (token) ORDER BY pos").fetchall()
         self.db.unregister("given")
-        return {rows[k]: (len(rows[k]), ",".join(map(str, rows[k])), decoded) for k, decoded in got}
-
-    def _by_heap(self, raw: bytes) -> list[int]:
-        """Leftmost pair of the smallest rank first, over a linked list."""
-        token = self.byte_token[np.frombuffer(raw, np.uint8)].tolist()
-        n = len(token)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        heap = [(r, k, token[k], token[k + 1]) for k in range(n - 1)
-                if (r := self.pair_rank.get((token[k], token[k + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, k, a, b = heapq.heappop(heap)
-            j = after[k]
-            if not alive[k] or j >= n or token[k] != a or token[j] != b:
-                continue
-            token[k], alive[j], after[k] = rank, False, after[j]
-            if after[j] < n:
-                before[after[j]] = k
-            for x, y in ((before[k], k), (k, after[k])):
-                if x >= 0 and y < n and (r := self.pair_rank.get((token[x], token[y]))) is not None:
-                    heapq.heappush(heap, (r, x, token[x], token[y]))
-        return [t for t, live in zip(token, alive, strict=True) if live]
+        return got
 
 
 _CODERS: dict[bytes, Coder] = {}
@@ -203,8 +215,11 @@ def encoded_rows(column: pa.Array, ranks: bytes, pattern: str) -> Iterator[tuple
         own.learn(set().union(*lists))
         known = own.known
         for words in lists:
-            found = [known[w] for w in words]
-            yield sum([f[0] for f in found]), ",".join([f[1] for f in found]), b"".join([f[2] for f in found])
+            if not words:
+                yield 0, "", b""
+                continue
+            counts, ids, decoded = zip(*map(known.__getitem__, words), strict=True)
+            yield sum(counts), ",".join(ids), b"".join(decoded)
 
 
 def encode(text: Column, ranks: bytes, pattern: str, digest: bool = False) -> Column:
