@@ -26,10 +26,12 @@ from pulseboard.session import new_path, stream_session
 from pulseboard.sinks import files
 from pulseboard.sinks.buckets import BucketedTable
 from pulseboard.sinks.keyed import KeyedTable
+from pulseboard.sources.function import NUMBERS, function_stream
+from pulseboard.sources.generated import with_fields
 from pulseboard.sources.tables import monitored_table, named_table
 from pulseboard.sources.topic import Topic, json_topic, raw_topic
 from pulseboard.streaming import dashboards as db
-from pulseboard.streaming.runtime import drain, event_time, text_rows
+from pulseboard.streaming.runtime import drain, event_time, run_to, text_rows
 from pulseboard.streaming.sequence import followed_by_join
 from pulseboard.streaming.state import top_rooms_with_timers
 from pulseboard.streaming.totals import best_overall, rolling_totals
@@ -384,6 +386,19 @@ def jn3_stream(spark, folder):
     return spark.read.parquet(job.out).drop("batch")
 
 
+@query("src4_generated_stream", tq.GENERATED)
+def src4_stream(spark, folder):
+    """One generated row per event at a rate, until the sequence ends; the events are joined to it by their number."""
+    job = Job(spark, "src4")
+    events = named_table(spark, folder, "events").select("event_id", "user_id")
+    end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    source = function_stream(job.session, NUMBERS, end, rows_per_second=end / 4)
+    made = with_fields(source, "value", tq.GENERATED_FIELDS, seed=7).drop("value")
+    done = run_to(made, files.append_batch(job.out), job.checkpoint, {"n": end})
+    Job.batches["src4"] = sum(p["numInputRows"] > 0 for p in done.recentProgress)
+    return tq.generated_facts(events.join(job.rows(made.schema), F.col("event_id") + 1 == F.col("f_sequence")))
+
+
 @query("snk12_event_time_folders_stream", tq.DATED)
 def snk12_stream(spark, folder):
     job = Job(spark, "snk12")

@@ -62,15 +62,14 @@ def src3(spark, folder):
     return from_offsets(topic, {0: 500, 1: 2000, 3: 0})
 
 
-@query("src4_generated_columns", """
+GENERATED = """
     SELECT user_id, count(*) AS rows, CAST(min(event_id + 1) AS INTEGER) AS first_number,
         CAST(max(event_id + 1) AS INTEGER) AS last_number, TRUE AS in_range, TRUE AS right_length
-    FROM events GROUP BY user_id""")
-def src4(spark, folder):
-    made = with_fields(
-        events(spark, folder), "event_id",
-        {"f_sequence": Sequence(1, 2**31 - 1), "f_random": RandomInt(1, 1000), "f_random_str": RandomText(10)}, seed=7,
-    )
+    FROM events GROUP BY user_id"""
+GENERATED_FIELDS = {"f_sequence": Sequence(1, 2**31 - 1), "f_random": RandomInt(1, 1000), "f_random_str": RandomText(10)}
+
+
+def generated_facts(made):
     return made.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("f_sequence").alias("first_number"),
@@ -80,6 +79,11 @@ def src4(spark, folder):
     )
 
 
+@query("src4_generated_columns", GENERATED)
+def src4(spark, folder):
+    return generated_facts(with_fields(events(spark, folder), "event_id", GENERATED_FIELDS, seed=7))
+
+
 @query("src7_change_feed", f"SELECT op, seq, id, uid, sex, amount FROM {CHANGES}")
 def src7(spark, folder):
     return changes(spark, folder)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -45,6 +47,22 @@ def drain(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "appen
     return query
 
 
+def run_to(df: DataFrame, write: BatchWriter, checkpoint: str, offset: dict, limit: float = 600.0) -> StreamingQuery:
+    """Run a job whose source has an end until a batch that ends at ``offset`` is written, then stop it."""
+    query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    stop_at = time.monotonic() + limit
+    try:
+        while not any(p["numInputRows"] > 0 and p["sources"][0]["endOffset"] == offset
+                      for p in (json.loads(progress.json) for progress in query.recentProgress)):
+            if query.awaitTermination(0.2):
+                raise RuntimeError("the job ended before its source did")
+            if time.monotonic() > stop_at:
+                raise TimeoutError(f"the source did not come to {offset} in {limit} seconds")
+    finally:
+        query.stop()
+    return query
+
+
 def print_rows(df: DataFrame, checkpoint: str, mode: str = "append", rows: int = 20) -> StreamingQuery:
     """Drain to the console."""
     query = (
