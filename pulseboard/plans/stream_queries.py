@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pulseboard.session import new_path, stream_session
 from pulseboard.sinks import files
 from pulseboard.sinks.buckets import BucketedTable
 from pulseboard.sinks.keyed import KeyedTable
+from pulseboard.sinks.rolling import RollingFiles
 from pulseboard.sources.function import NUMBERS, function_stream
 from pulseboard.sources.generated import with_fields
 from pulseboard.sources.tables import monitored_table, named_table
@@ -419,6 +421,21 @@ def snk11_stream(spark, folder):
     return stored.groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("snk11_rolled_by_size_and_idleness_stream", f"""
+    SELECT dt, count(*) AS rows, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM ({tq.DATED}) GROUP BY dt""")
+def snk11_rolled_stream(spark, folder):
+    """Folders roll by size while rows come; the clock then runs on and the rest is closed as idle."""
+    job = Job(spark, "snk11_rolled")
+    lines = tq.dated_lines(event_stream(job.session, folder)).withColumn("dt", files.event_date("value"))
+    late = [0.0]
+    sink = RollingFiles(job.session, job.out, ["dt"], 20_000, timedelta(hours=1), timedelta(minutes=1), clock=lambda: time.time() + late[0])
+    job.run(lines, sink)
+    late[0] = 61.0
+    sink.tick()
+    done = RollingFiles(spark, job.out, ["dt"], 20_000, timedelta(hours=1), timedelta(minutes=1)).finished()
+    return done.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+
+
 @query("snk13_partition_commit_stream", tq.COMMITTED)
 def snk13_stream(spark, folder):
     job = Job(spark, "snk13")
