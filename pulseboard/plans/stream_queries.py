@@ -396,8 +396,7 @@ def src4_stream(spark, folder):
     end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
     source = function_stream(job.session, NUMBERS, end, rows_per_second=end / 4)
     made = with_fields(source, "value", tq.GENERATED_FIELDS, seed=7).drop("value")
-    done = run_to(made, files.append_batch(job.out), job.checkpoint, {"n": end})
-    Job.batches["src4"] = sum(p["numInputRows"] > 0 for p in done.recentProgress)
+    run_to(made, files.append_batch(job.out), job.checkpoint, {"n": end})
     return tq.generated_facts(events.join(job.rows(made.schema), F.col("event_id") + 1 == F.col("f_sequence")))
 
 

@@ -6,7 +6,6 @@ import time
 
 import pytest
 
-from pulseboard.plans.stream_queries import Job
 from pulseboard.session import new_path, stream_session
 from pulseboard.sinks.files import append_batch
 from pulseboard.sources.function import NUMBERS, cut, function_source, function_stream, function_table
@@ -51,9 +50,3 @@ def test_rows_that_are_due_are_drained(spark):
     out, checkpoint = new_path(spark, "numbers"), new_path(spark, "checkpoint")
     drain(function_stream(session, NUMBERS, 200_000, 10.0, begin=0.0), append_batch(out), checkpoint)
     assert spark.read.parquet(out).selectExpr("count(distinct value)", "min(value)", "max(value)").first()[:] == (200_000, 0, 199_999)
-
-
-def test_the_generated_stream_comes_in_batches(spark, folder):
-    from pulseboard.plans.stream_queries import src4_stream
-    assert src4_stream(spark, folder).count() > 0
-    assert Job.batches["src4"] >= 2
