@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ GRAM = 16
 SHARD_BYTES = 2_000_000
 BUCKET_BYTES = 16_000_000
 #: Text that is sorted at a time within a bucket; the pieces of one anchor stay together.
-SORT_BYTES = 1_500_000
+SORT_BYTES = 500_000
 NO_ID = np.iinfo(np.int64).max  # a null id counts as larger than all others
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -48,7 +49,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those of the usual size of a shard are remembered by the worker."""
+    usual = 3 * SHARD_BYTES // 2
+    return _accumulated(base, usual)[:n] if n <= usual else _accumulated.__wrapped__(base, n)
+
+
+@lru_cache(2)
+def _accumulated(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -72,7 +80,7 @@ class Shard:
         self.anchor = np.zeros(0, np.uint64)
         if n < SPAN:
             return
-        up, down = _powers(_BASE, n), _powers(_INVERSE, n)
+        up, down = _powers(int(_BASE), n), _powers(int(_INVERSE), n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * up, out=self.sums[1:])
         self.down = down
@@ -89,9 +97,9 @@ class Shard:
             step = min(have, width - have)
             least = np.minimum(least[:-step], least[step:])
             have += step
-        first = np.arange(len(least))
-        doc = np.searchsorted(self.offsets, first, side="right") - 1
-        whole = first + SPAN <= self.offsets[doc + 1]
+        length = np.diff(self.offsets)
+        doc = np.repeat(np.arange(len(length)), length)[:len(least)]
+        whole = np.arange(SPAN, len(least) + SPAN) <= np.repeat(self.offsets[1:], length)[:len(least)]
         begins = whole.copy()
         begins[1:] &= (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | ~whole[:-1]
         self.start = np.flatnonzero(begins)
@@ -160,47 +168,52 @@ def shared_anchors(lists: list[np.ndarray]) -> list[np.ndarray]:
     return [part[keep] >> np.uint64(1) for part, keep in zip(lists, np.split(several[at], cuts), strict=True)]
 
 
-def suffix_order(raw: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def in_eights(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, with zeros behind the end; readable up to ``SPAN`` places beyond it."""
+    wide = np.zeros(len(raw) + SPAN + 16, np.uint64)
+    wide[:len(raw)] = raw
+    for width in (1, 2, 4):
+        wide = (wide[:-width] << np.uint64(8 * width)) | wide[width:]
+    return wide
+
+
+def suffix_order(raw: np.ndarray, wanted: np.ndarray, eight: np.ndarray | None = None) -> np.ndarray:
     """The wanted suffixes of ``raw`` in lexicographic order, right for the first ``SPAN`` bytes.
 
     Two-stage sorting. A suffix is of type S if it is smaller than its successor. Wanted S suffixes are sorted
     directly by their bytes; each L suffix is induced when its successor is scanned, bucket of first byte by bucket.
     """
     n = len(raw)
+    eight = in_eights(raw) if eight is None else eight
     text = np.concatenate([raw.astype(np.int16) + 1, np.zeros(1, np.int16)])  # an end mark below all bytes
-    change = np.append(np.flatnonzero(text[1:] != text[:-1]), n)
-    rising = np.zeros(n + 1, bool)
-    of = np.searchsorted(change, np.arange(n))
-    rising[:n] = text[np.minimum(change[of] + 1, n)] > text[:n]
-    rising[n] = True
+    # A stretch of equal bytes rises or falls as a whole, by the byte behind it.
+    last = np.flatnonzero(text[1:] != text[:-1])
+    rising = np.append(np.repeat(text[last + 1] > text[last], np.diff(last, prepend=-1)), True)
     # An L suffix is induced from its successor, so the chain up to the next S suffix is needed as well.
     where = np.where(rising, np.arange(n + 1), n)
     next_s = np.minimum.accumulate(where[::-1])[::-1]
     falling = np.flatnonzero(wanted & ~rising[:n])
     cover = np.zeros(n + 2, np.int64)
-    np.add.at(cover, falling, 1)
-    np.add.at(cover, next_s[falling] + 1, -1)
+    cover[falling] = 1
+    cover -= np.bincount(next_s[falling] + 1, minlength=n + 2)
     needed = np.cumsum(cover)[:n + 1] > 0
     needed[:n] |= wanted
     direct = np.flatnonzero(needed & rising)
     direct = direct[direct < n]
-    padded = np.concatenate([raw, np.zeros(SPAN + 16, np.uint8)])
-    eight = np.zeros(n + SPAN + 8, np.uint64)
-    for k in range(8):
-        eight = (eight << np.uint64(8)) | padded[k:k + len(eight)]
-    keys = [eight[direct + at] for at in range(0, SPAN, 8)]
-    order = np.argsort(keys[0], kind="stable")
-    open_ = _tied(keys[0][order])
-    for key in keys[1:]:
-        if not len(open_):
+    key = eight[direct]
+    order = np.argsort(key, kind="stable")
+    sorted_s = direct[order]
+    place, group = _tied(key[order], np.zeros(len(order), np.int64))
+    for at in range(8, SPAN, 8):
+        if not len(place):
             break
         # Only suffixes whose bytes so far are those of a neighbour are sorted further, within their group.
-        rows = order[open_[:, 0]]
-        rows = rows[np.lexsort((key[rows], open_[:, 1]))]
-        order[open_[:, 0]] = rows
-        tied = _tied_within(key[rows], open_[:, 1])
-        open_ = np.stack([open_[tied[:, 0], 0], tied[:, 1]], axis=1) if len(tied) else open_[:0]
-    sorted_s = direct[order]
+        rows = sorted_s[place]
+        key = eight[rows + at]
+        by = np.lexsort((key, group))
+        sorted_s[place] = rows[by]
+        tied, number = _tied(key[by], group)
+        place, group = place[tied], number
     first_s = text[sorted_s]
     induced: dict[int, list[np.ndarray]] = {}
 
@@ -237,34 +250,38 @@ def suffix_order(raw: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return order[wanted[order]]
 
 
-def _tied(key: np.ndarray) -> np.ndarray:
-    """(place, group) of sorted values that equal a neighbour."""
-    return _tied_within(key, np.zeros(len(key), np.int64))
-
-
-def _tied_within(key: np.ndarray, group: np.ndarray) -> np.ndarray:
+def _tied(key: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of sorted keys that equal a neighbour of their group, and a number for each set of equal ones."""
     same = (key[1:] == key[:-1]) & (group[1:] == group[:-1])
-    begins = np.concatenate([[True], ~same]) if len(key) else np.zeros(0, bool)
-    number = np.cumsum(begins)
     tied = np.zeros(len(key), bool)
     tied[1:] |= same
     tied[:-1] |= same
-    return np.stack([np.flatnonzero(tied), number[tied]], axis=1)
+    number = np.zeros(len(key), np.int64)
+    np.cumsum(~same, out=number[1:])
+    return np.flatnonzero(tied), number[tied]
+
 
+#: Numbers below these bounds begin with 7, 6, ... 1 zero bytes.
+_BOUNDS = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)
 
-def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int = SPAN) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in ``order``, counted up to ``most``; 0 for the first."""
-    padded = np.concatenate([raw, np.zeros(most, np.uint8)])
+
+def common_prefixes(raw: np.ndarray, order: np.ndarray, eight: np.ndarray | None = None) -> np.ndarray:
+    """Common prefix of each suffix with the one before it in ``order``, counted up to ``SPAN``; 0 for the first."""
+    eight = in_eights(raw) if eight is None else eight
     out = np.zeros(len(order), np.int64)
     a, b = order[:-1], order[1:]
     live = np.arange(1, len(order))
-    for k in range(most):
-        equal = (padded[a + k] == padded[b + k]) & (np.maximum(a, b) + k < len(raw))
-        live, a, b = live[equal], a[equal], b[equal]
-        out[live] += 1
+    for at in range(0, SPAN, 8):
+        differ = eight[a + at] ^ eight[b + at]
+        alike = differ == 0
+        out[live[~alike]] = at + 7 - np.searchsorted(_BOUNDS, differ[~alike], side="right")
+        live, a, b = live[alike], a[alike], b[alike]
         if not len(live):
             break
-    return out
+    out[live] = SPAN
+    # Zeros behind the end are no bytes.
+    np.minimum(out[1:], len(raw) - np.maximum(order[:-1], order[1:]), out=out[1:])
+    return np.minimum(out, SPAN)
 
 
 def smallest_ids(raw: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -276,8 +293,9 @@ def smallest_ids(raw: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.n
     wanted[start] = True
     number = np.full(len(raw), -1, np.int64)
     number[start] = np.arange(total)
-    order = suffix_order(raw, wanted)
-    begins = common_prefixes(raw, order) < SPAN
+    eight = in_eights(raw)
+    order = suffix_order(raw, wanted, eight)
+    begins = common_prefixes(raw, order, eight) < SPAN
     first = np.flatnonzero(begins)
     least = np.minimum.reduceat(ids[piece[number[order]]], first) if len(first) else np.zeros(0, np.int64)
     out = np.empty(total, np.int64)
