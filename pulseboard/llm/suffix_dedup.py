@@ -12,6 +12,10 @@ can match must meet in one task without moving the text's every suffix:
    bytes join equal strings; the smallest id of each goes back to the shards.
 5. Shards mark the strings that start in a document with a smaller id and cut the bytes they cover.
 
+An anchor of many pieces (a separator, a template with varied surroundings) would fill one bucket. Step 2 adds up how often shards
+hold it and marks it hot; steps 3 and 5 then cut its pieces by the place of the anchor in the string, ``HOT_PLACES`` places together.
+All strings of such a part share ``SPAN + 1 - HOT_PLACES`` bytes, whose hash takes the anchor's part, so that they spread by their surroundings.
+
 A string common to many documents is sent once per shard, so no group grows with the number of documents that hold it.
 Steps 1, 3 and 5 read the same shuffled documents, which Spark keeps and reuses; rows of a shard are put in order first, so that
 every evaluation numbers its pieces alike.
@@ -37,6 +41,9 @@ SHARD_BYTES = 2_000_000
 BUCKET_BYTES = 16_000_000
 #: Text that is sorted at a time within a bucket; the pieces of one anchor stay together.
 SORT_BYTES = 500_000
+#: Pieces (counted before equal ones become one, within a factor of 4) from which an anchor is hot; 32,000 at most.
+HOT_PIECES = 16_000
+HOT_PLACES = 5
 NO_ID = np.iinfo(np.int64).max  # a null id counts as larger than all others
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -76,7 +83,7 @@ class Shard:
         self.raw, self.offsets = as_bytes(text.take(pa.array(order)))
         n = len(self.raw)
         none = np.zeros(0, np.int64)
-        self.start = self.end = self.doc = none
+        self.start = self.end = self.doc = self.place = none
         self.anchor = np.zeros(0, np.uint64)
         if n < SPAN:
             return
@@ -107,7 +114,32 @@ class Shard:
         ends[:-1] &= begins[1:] | ~whole[1:]
         self.end = np.flatnonzero(ends) + 1
         self.doc = doc[self.start]
-        self.anchor = grams[(least[self.start] & low).astype(np.int64)]
+        self.place = (least[self.start] & low).astype(np.int64)
+        self.anchor = grams[self.place]
+
+    def spread(self, hot: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
+        """Cut the runs of hot anchors by the anchor's place in the string; values per run in ``more`` follow their runs."""
+        cut = np.flatnonzero(np.isin(self.anchor & _KEPT, hot)) if len(hot) else np.zeros(0, np.int64)
+        if not len(cut):
+            return list(more)
+        parts = -(-(SPAN - GRAM + 1) // HOT_PLACES)
+        run, part = np.repeat(cut, parts), np.tile(np.arange(parts), len(cut))
+        # Strings from ``highest - HOT_PLACES + 1`` to ``highest`` have the anchor at the places of this part.
+        highest = self.place[run] - part * HOT_PLACES
+        start = np.maximum(self.start[run], highest - HOT_PLACES + 1)
+        end = np.minimum(self.end[run], highest + 1)
+        there = start < end
+        run, part, highest, start, end = (x[there] for x in (run, part, highest, start, end))
+        common = SPAN + 1 - HOT_PLACES
+        anchor = _mixed((self.sums[highest + common] - self.sums[highest]) * self.down[highest] + part.astype(np.uint64))
+        whole = np.ones(len(self.start), bool)
+        whole[cut] = False
+        order = np.argsort(np.concatenate([self.start[whole], start]), kind="stable")
+        joined = lambda old, new: np.concatenate([old[whole], new])[order]
+        more = [joined(x, x[run]) for x in more]
+        self.doc, self.place = joined(self.doc, self.doc[run]), joined(self.place, self.place[run])
+        self.start, self.end, self.anchor = joined(self.start, start), joined(self.end, end), joined(self.anchor, anchor)
+        return more
 
     def pieces(self) -> tuple[np.ndarray, np.ndarray]:
         """Number of the piece of each run, and the first run of each piece. Equal numbers: equal bytes around an equal anchor."""
@@ -158,14 +190,20 @@ def _split(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(int(b), part) for b, part in zip(values, np.split(order, first[1:]), strict=True)]
 
 
-def shared_anchors(lists: list[np.ndarray]) -> list[np.ndarray]:
-    """Per shard's list (hash << 1 | in several documents already) those hashes that two documents have."""
+def shared_anchors(lists: list[np.ndarray], hot_pieces: int = HOT_PIECES) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per shard's list (hash, power of 4 of its pieces, in several documents already): hashes that two documents have, and the hot ones of them."""
     flat = np.concatenate(lists)
-    seen, at, count = np.unique(flat >> np.uint64(1), return_inverse=True, return_counts=True)
+    seen, at, count = np.unique(flat >> np.uint64(4), return_inverse=True, return_counts=True)
     several = count > 1
     several[at[(flat & np.uint64(1)) == 1]] = True
-    cuts = np.cumsum([len(x) for x in lists])[:-1]
-    return [part[keep] >> np.uint64(1) for part, keep in zip(lists, np.split(several[at], cuts), strict=True)]
+    held = np.bincount(at, 4.0 ** ((flat >> np.uint64(1)) & np.uint64(7)).astype(np.int64))
+    hot = several & (2 * held >= hot_pieces)
+    out, lo = [], 0
+    for x in lists:
+        own = at[lo:lo + len(x)]
+        out.append((seen[own[several[own]]], seen[own[hot[own]]]))
+        lo += len(x)
+    return out
 
 
 def in_eights(raw: np.ndarray) -> np.ndarray:
@@ -304,12 +342,14 @@ def smallest_ids(raw: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.n
 
 
 def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                  shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes that stay) and ``kept_sha256``.
 
     A null text is empty. A null id counts as larger than every id; rows with equal ids do not count as smaller than one another, so
     repeated rows keep what no smaller id has. Strings never cross documents. An empty table gives no rows.
     """
+    if hot_pieces > 32_000:
+        raise ValueError("a shard's count of pieces is sent up to 16,384 only: hot_pieces must be 32,000 or less")
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards, buckets = -(-size // shard_bytes) or 1, -(-size // bucket_bytes) or 1
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -322,15 +362,18 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         values, first = np.unique(anchor, return_index=True)
         last = np.append(first[1:], len(anchor)) - 1
         several = shard.ids[doc[last]] != shard.ids[doc[first]] if len(values) else np.zeros(0, bool)
-        out = [(b, _short(values[part], several[part])) for b, part in _split(_buckets_of(values, buckets))]
+        pieces = np.minimum(last + 1 - first, 4 ** 7)
+        power = np.searchsorted(4 ** np.arange(1, 8), pieces, side="right")
+        out = [(b, _short(values[part], power[part], several[part])) for b, part in _split(_buckets_of(values, buckets))]
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()),
                          "shard": pa.array([table.column("shard")[0].as_py()] * len(out), pa.int32()),
                          "hashes": pa.array([x for _, x in out], pa.binary())})
 
     def find_shared(table: pa.Table) -> pa.Table:
         lists = [_long(x) for x in table.column("hashes").to_pylist()]
-        found = [_short(x, np.zeros(len(x), bool)) for x in shared_anchors(lists)]
-        return pa.table({"shard": table.column("shard"), "hashes": pa.array(found, pa.binary())})
+        found = [(_short(known), _short(hot)) for known, hot in shared_anchors(lists, hot_pieces)]
+        return pa.table({"shard": table.column("shard"), "hashes": pa.array([x for x, _ in found], pa.binary()),
+                         "hot": pa.array([x for _, x in found], pa.binary())})
 
     def send_pieces(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int32()), ("numbers", pa.binary()), ("anchors", pa.binary()),
@@ -338,14 +381,15 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         shard = Shard(left)
-        number, first = shard.pieces()
-        known = np.sort(np.concatenate([_long(x) >> np.uint64(1) for x in right.column("hashes").to_pylist()]))
+        known = np.sort(_hashes(right.column("hashes")))
         if not len(known):
             return schema.empty_table()
-        own = shard.anchor[first] & _KEPT
+        own = shard.anchor & _KEPT
         found = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+        found, = shard.spread(_hashes(right.column("hot")), found)
+        number, first = shard.pieces()
         least = shard.smallest(number, len(first))
-        chosen = np.flatnonzero(found)
+        chosen = np.flatnonzero(found[first])
         windows = (shard.end - shard.start)[first[chosen]]
         out = []
         for b, part in _split(_buckets_of(shard.anchor[first[chosen]], buckets)):
@@ -399,6 +443,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not left.num_rows:
             return _CUT.empty_table()
         shard = Shard(left)
+        shard.spread(_hashes(right.column("hot")))
         number, first = shard.pieces()
         n = len(shard.raw)
         cover = np.zeros(n + 1, np.int64)
@@ -407,7 +452,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         local = np.flatnonzero(least[number] < ids) if len(first) else np.zeros(0, np.int64)
         np.add.at(cover, shard.start[local], 1)
         np.add.at(cover, shard.end[local] - 1 + SPAN, -1)
-        found = np.concatenate([np.frombuffer(x, _ANSWER) for x in right.column("found").to_pylist()]) if right.num_rows else np.zeros(0, _ANSWER)
+        found = np.concatenate([np.zeros(0, _ANSWER), *(np.frombuffer(x, _ANSWER) for x in right.column("found").to_pylist() if x)])
         if len(found):
             # All runs of a piece take its answers.
             by = np.argsort(number, kind="stable")
@@ -431,25 +476,27 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return pa.Table.from_pylist(out, _CUT)
 
     anchors = rows.groupBy("shard").applyInArrow(send_anchors, "bucket int, shard int, hashes binary")
-    shared = anchors.groupBy("bucket").applyInArrow(find_shared, "shard int, hashes binary")
+    shared = anchors.groupBy("bucket").applyInArrow(find_shared, "shard int, hashes binary, hot binary")
     sent = (rows.groupBy("shard").cogroup(shared.groupBy("shard"))
             .applyInArrow(send_pieces, "bucket int, shard int, numbers binary, anchors binary, ids binary, windows binary, text binary"))
     found = sent.groupBy("bucket").applyInArrow(sort_pieces, "shard int, found binary")
-    return (rows.groupBy("shard").cogroup(found.groupBy("shard"))
+    answers = (found.withColumn("hot", F.lit(b""))
+               .unionByName(shared.where("hot <> X''").select("shard", F.lit(b"").alias("found"), "hot")))
+    return (rows.groupBy("shard").cogroup(answers.groupBy("shard"))
             .applyInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
 
 
 _CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                   ("kept_sha256", pa.string()), ("kept", pa.binary())])
 _ANSWER = np.dtype([("number", np.uint32), ("first", np.uint8), ("last", np.uint8), ("id", np.int64)])
-#: 47 bits of a hash are sent; with the bucket, which other bits choose, they tell anchors apart, and a wrong
+#: 44 bits of a hash are sent; with the bucket, which other bits choose, they tell anchors apart, and a wrong
 #: candidate costs a comparison only.
-_KEPT = np.uint64((1 << 47) - 1)
+_KEPT = np.uint64((1 << 44) - 1)
 
 
-def _short(hashes: np.ndarray, flag: np.ndarray) -> bytes:
-    """Six bytes per hash: 47 bits and a flag."""
-    packed = ((hashes & _KEPT) << np.uint64(1)) | flag.astype(np.uint64)
+def _short(hashes: np.ndarray, power: np.ndarray | int = 0, flag: np.ndarray | int = 0) -> bytes:
+    """Six bytes per hash: 44 bits, a power of 4 up to 7, and a flag."""
+    packed = ((hashes & _KEPT) << np.uint64(4)) | np.asarray(power, np.uint64) << np.uint64(1) | np.asarray(flag, np.uint64)
     return packed.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
@@ -457,3 +504,7 @@ def _long(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
     return out.view("<u8").reshape(-1)
+
+
+def _hashes(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(_long(x) >> np.uint64(4) for x in column.to_pylist() if x)])

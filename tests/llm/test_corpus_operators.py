@@ -106,6 +106,28 @@ def test_suffix_dedup_equals_plain_search(odd, sizes):
     assert suffix_dedup.cut_documents(odd.limit(0)).count() == 0
 
 
+def test_hot_anchors_spread_by_their_surroundings(spark):
+    rng = np.random.default_rng(5)
+    mark = "=-=-=-=-=-=-=-=-=-="
+    noise = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    lines = [noise(40) for _ in range(60)]
+    # One separator with ever new text on one side or both, some of it shared by documents at all distances from the separator.
+    rows = [(i, mark.join([noise(30), lines[i % 7], noise(25) + lines[i % 11][:20], lines[i % 5][:35] + noise(5)] * 3)) for i in range(80)]
+    docs = spark.createDataFrame([*rows, (None, rows[3][1]), (5, rows[5][1])], "doc_id long, text string").repartition(3)
+    want = plain_cut([*rows, (None, rows[3][1]), (5, rows[5][1])])
+    for hot in (1, 100, 16_000):
+        got = suffix_dedup.cut_documents(docs, shard_bytes=3_000, bucket_bytes=10_000, hot_pieces=hot).collect()
+        assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
+
+
+def test_hot_anchors_are_told_by_the_sum_of_all_shards():
+    sent = lambda pairs, several=0: suffix_dedup._long(suffix_dedup._short(*map(np.array, zip(*pairs, strict=True)), several))
+    lists = [sent([(np.uint64(9), 1), (np.uint64(10), 5)]), sent([(np.uint64(9), 2), (np.uint64(11), 0)]), sent([(np.uint64(12), 3)], 1)]
+    found = suffix_dedup.shared_anchors(lists, hot_pieces=40)
+    assert [(known.tolist(), hot.tolist()) for known, hot in found] == [([9], [9]), ([9], [9]), ([12], [12])]
+    assert [hot.tolist() for _, hot in suffix_dedup.shared_anchors(lists, hot_pieces=41)] == [[], [], [12]]
+
+
 @pytest.mark.parametrize("letters", [1, 2, 4, 250])
 def test_two_stage_sorting_orders_suffixes(letters):
     rng = np.random.default_rng(letters)
