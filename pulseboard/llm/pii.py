@@ -3,10 +3,11 @@
 Candidate spans come from loose patterns per kind. Labelers vote on each candidate: regex (the strict forms),
 checks (Luhn, octets), gazetteers (hosts, endings, calling codes, issuers), context words around it, and shape.
 A vote is 1 (for), -1 (against) or 0 (abstains). Expectation-maximisation estimates each labeler's reliability
-from how often the votes come together, over all documents (counts of vote patterns, a bounded table), and gives each
-pattern a probability. A logistic span classifier is trained on those probabilities with the votes and the
-shape as features and decides on the candidates. Spans of the base patterns are always given; the
-classifier adds spans that the base patterns do not have.
+from how often the votes come together, over all documents (counts of patterns, a bounded table), and gives each
+combination of votes a probability. A candidate that its kind's own rule (Luhn, octets, ending) speaks against is out. On the
+others a logistic span classifier is trained to give those probabilities from traits of the span that are no votes: its length, its
+separators, what stands before and behind it. It learns from all candidates, certain ones too, what a span of the kind looks like, and so
+decides where votes are few or even. Spans of the base patterns are always given; the classifier adds spans that they do not have.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Loose forms, one per kind: addresses written out, quads with other separators, local phone numbers.
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{1,63}"
-                        r"(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]{1,63}){1,8}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]++"
+                        r"(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]++)++"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9.])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[.\x20-]?[0-9]{4}){2}[.\x20-]?[0-9]{3,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])"),
@@ -123,6 +124,23 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int,
     return (1 if base else -1, check, gazetteer, context, shape)
 
 
+#: Number of values of each trait; with the votes they bound the table of patterns that reaches the driver.
+TRAITS = (4, 5, 5, 4)
+
+
+def traits(text: str, start: int, end: int) -> tuple[int, ...]:
+    """Length, separators inside, and what stands before and behind the span, as small numbers (``TRAITS``)."""
+    span = text[start:end]
+    length = int(np.searchsorted((12, 16, 24), len(span), side="right"))
+    marks = {c for c in span if not c.isalnum()}
+    inside = 0 if not marks else 1 if marks <= {" "} else 2 if marks <= {".", "@"} else 3 if marks <= {"-", " ", "+", "(", ")"} else 4
+    before = text[max(0, start - 3):start].rstrip(" \t")[-1:]
+    ahead = 0 if not before or before in "\r\n" else 1 if before in ":=#" else 2 if before.isdigit() else 3 if before.isalpha() else 4
+    after = text[end:end + 1]
+    behind = 0 if not after or after.isspace() else 1 if after in ".,;:!?)]" else 2 if after.isalnum() else 3
+    return length, inside, ahead, behind
+
+
 def _interesting(column: pa.Array) -> np.ndarray:
     """Rows that hold a digit, an @ or a bracketed ``at``; no pattern matches elsewhere."""
     raw, offsets = as_bytes(column)
@@ -139,54 +157,71 @@ class Model:
     weights: dict[str, np.ndarray]
     threshold: float = 0.5
 
-    def probability(self, kind: str, vote: tuple[int, ...]) -> float:
+    def probability(self, kind: str, trait: tuple[int, ...]) -> float:
         w = self.weights.get(kind)
-        return 0.0 if w is None else float(1 / (1 + np.exp(-np.dot(w, _features(vote)))))
+        return 0.0 if w is None else float(1 / (1 + np.exp(-np.dot(w, _features(trait)))))
+
+
+def _features(trait: tuple[int, ...]) -> np.ndarray:
+    return np.array([1.0, *[float(t == k) for t, n in zip(trait, TRAITS, strict=True) for k in range(n)]])
 
 
-def _features(vote: tuple[int, ...]) -> np.ndarray:
-    return np.array([1.0, *[float(v == 1) for v in vote], *[float(v == -1) for v in vote]])
+def _ruled_out(vote: tuple[int, ...]) -> bool:
+    return vote[LABELERS.index("check")] == -1
 
 
-def fit_counts(rows: list[tuple[str, tuple[int, ...], int]], rounds: int = 60) -> Model:
-    """``rows``: kind, votes and how many candidates had them. An empty list gives a model that adds nothing.
+def reliabilities(vote: np.ndarray, count: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """Expectation-maximisation over vote patterns (rows) and their counts: how often each labeler is right, and each pattern's probability.
 
-    EM with one hidden label per candidate: each labeler is right with its own probability when it votes. Classes are told
-    apart by starting from the majority. Afterwards a logistic regression learns the labels' probabilities.
+    One hidden label per candidate; a labeler is right with its own probability when it votes. Classes are told apart by starting
+    from the majority.
     """
+    truth = np.clip(0.5 + vote.sum(axis=1) / (2 * vote.shape[1]), 0.05, 0.95)
+    for _ in range(rounds):
+        share = min(max((count * truth).sum() / count.sum(), 0.02), 0.98)
+        right = ((vote == 1) * (count * truth)[:, None] + (vote == -1) * (count * (1 - truth))[:, None]).sum(axis=0)
+        said = ((vote != 0) * count[:, None]).sum(axis=0)
+        accurate = np.clip((right + 4) / (said + 5), 0.05, 0.97)  # a weak belief that labelers are mostly right
+        odds = np.log(share / (1 - share)) + (vote * np.log(accurate / (1 - accurate))).sum(axis=1)
+        truth = 1 / (1 + np.exp(-odds))
+    return accurate, truth
+
+
+def logistic(x: np.ndarray, truth: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic regression on probabilities, by Newton's steps; ``weight`` sums to 1."""
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(w)),
+                               x.T @ (weight * (p - truth)) + ridge * w)
+        w -= step / max(1.0, np.abs(step).max() / 4)
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def fit_counts(rows: list[tuple[str, tuple[int, ...], tuple[int, ...], int]]) -> Model:
+    """``rows``: kind, votes, traits and how many candidates had them. An empty list gives a model that adds nothing."""
     reliability, weights = {}, {}
     for kind in KINDS:
-        own = [(v, n) for k, v, n in rows if k == kind]
+        own = [(v, t, n) for k, v, t, n in rows if k == kind]
         if not own:
             continue
-        vote = np.array([v for v, _ in own])
-        count = np.array([n for _, n in own], float)
-        truth = np.clip(0.5 + vote.sum(axis=1) / (2 * vote.shape[1]), 0.05, 0.95)
-        for _ in range(rounds):
-            share = (count * truth).sum() / count.sum()
-            share = min(max(share, 0.02), 0.98)
-            right = ((vote == 1) * (count * truth)[:, None] + (vote == -1) * (count * (1 - truth))[:, None]).sum(axis=0)
-            said = ((vote != 0) * count[:, None]).sum(axis=0)
-            accurate = np.clip((right + 4) / (said + 5), 0.05, 0.97)  # a weak belief that labelers are mostly right
-            odds = np.log(share / (1 - share)) + (vote * np.log(accurate / (1 - accurate))).sum(axis=1)
-            truth = 1 / (1 + np.exp(-odds))
-        x = np.stack([_features(tuple(v)) for v in vote])
-        w = np.zeros(x.shape[1])
-        weight = np.sqrt(count) / np.sqrt(count).sum()
-        for _ in range(2000):
-            p = 1 / (1 + np.exp(-x @ w))
-            w -= 2.0 * (x.T @ (weight * (p - truth)) + 1e-4 * w)
-        reliability[kind], weights[kind] = accurate, w
+        vote, of = np.unique(np.array([v for v, _, _ in own]), axis=0, return_inverse=True)
+        count = np.array([n for _, _, n in own], float)
+        reliability[kind], truth = reliabilities(vote, np.bincount(of.ravel(), count))
+        passed = [k for k, (v, _, _) in enumerate(own) if not _ruled_out(v)]
+        if passed:
+            x = np.stack([_features(own[k][1]) for k in passed])
+            weights[kind] = logistic(x, truth[of.ravel()[passed]], count[passed] / count[passed].sum())
     return Model(reliability, weights)
 
 
-_VOTES = "array<struct<kind:string,vote:array<int>>>"
-
-
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
-    """Model from the vote patterns of all candidates in all documents.
+    """Model from the votes and traits of all candidates in all documents.
 
-    Patterns are counted in the tasks and combined before the shuffle; at most 4 * 3^5 patterns reach the driver.
+    Patterns are counted in the tasks and combined before the shuffle; at most 4 * 3^5 * 400 patterns of some 40 bytes reach the driver,
+    however many documents there are. Null and empty texts have no candidates; an empty table gives a model that adds nothing.
     """
     bounded_batches()
 
@@ -199,7 +234,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
             for row in range(len(batch)):
                 seen: dict[str, int] = {}
                 for kind, start, end, base in candidates(some[row]) if row in some else ():
-                    key = kind + ":" + ",".join(map(str, votes(some[row], kind, start, end, base)))
+                    key = kind + ":" + ",".join(map(str, votes(some[row], kind, start, end, base) + traits(some[row], start, end)))
                     seen[key] = seen.get(key, 0) + 1
                 out.append(list(seen.items()))
             yield pa.array(out, pa.map_(pa.string(), pa.int64()))
@@ -208,8 +243,9 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
                .groupBy("pattern").agg(F.sum("n").alias("n")))
     rows = []
     for r in sorted(counted.collect()):
-        kind, _, vote = r["pattern"].partition(":")
-        rows.append((kind, tuple(map(int, vote.split(","))), r["n"]))
+        kind, _, pattern = r["pattern"].partition(":")
+        values = tuple(map(int, pattern.split(",")))
+        rows.append((kind, values[:len(LABELERS)], values[len(LABELERS):], r["n"]))
     return fit_counts(rows)
 
 
@@ -219,12 +255,17 @@ def spans(text: str, model: Model) -> tuple[list[tuple[str, int, int]], list[tup
     for kind, start, end, is_base in candidates(text):
         if is_base:
             base.append((kind, start, end))
-        if is_base or model.probability(kind, votes(text, kind, start, end, False)) >= model.threshold:
+        if is_base or _adds(text, kind, start, end, model):
             every.append((kind, start, end))
     key = lambda s: (s[1], KINDS.index(s[0]))
     return sorted(base, key=key), sorted(every, key=key)
 
 
+def _adds(text: str, kind: str, start: int, end: int, model: Model) -> bool:
+    out = _ruled_out(votes(text, kind, start, end, False))
+    return not out and model.probability(kind, traits(text, start, end)) >= model.threshold
+
+
 def written(found: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in found)
 
@@ -278,6 +319,10 @@ def redact(text: Column, model: Model) -> Column:
 
 
 def find_documents(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``. Without a model one is fitted on the same documents first."""
+    """One row per row of ``docs``, repeated rows too. Without a model one is fitted on the same documents first.
+
+    Null and empty texts have no spans (zeros, the digest of nothing, an empty list); an empty table gives no rows; other columns are
+    neither read nor returned.
+    """
     model = model or fit(docs, text_col)
     return docs.select(F.col(id_col).alias("doc_id"), find(F.col(text_col), model).alias("f")).select("doc_id", "f.*")

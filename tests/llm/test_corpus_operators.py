@@ -294,6 +294,53 @@ def test_pii_adds_spans_and_masks(spark, odd):
     assert pii.find_documents(odd.limit(0)).count() == 0
 
 
+def test_written_out_addresses_have_no_longest_part():
+    long = f"{'a' * 100} [at] {'b' * 80}{'.c' * 12}"
+    assert pii.candidates(f"to {long} today") == [("email", 3, 3 + len(long), False)]
+    assert pii.candidates("a" * 50_000 + " [at] " + "b." * 20_000) == [("email", 0, 50_000 + 6 + 39_999, False)]
+    assert pii.candidates("a[at]" * 20_000 + "." * 20_000) == []
+
+
+def test_labelers_reliabilities_are_found():
+    rng = np.random.default_rng(3)
+    right = np.array([0.95, 0.9, 0.8, 0.7, 0.6])
+    truth = rng.random(40_000) < 0.4
+    says = np.where((rng.random((len(truth), 5)) < right) == truth[:, None], 1, -1) * (rng.random((len(truth), 5)) < 0.8)
+    vote, of, count = np.unique(says, axis=0, return_inverse=True, return_counts=True)
+    accurate, found = pii.reliabilities(vote, count.astype(float))
+    assert np.abs(accurate - right).max() < 0.02
+    # The same by Bayes' rule with the true reliabilities.
+    odds = np.log(0.4 / 0.6) + (vote * np.log(right / (1 - right))).sum(axis=1)
+    assert np.abs(found - 1 / (1 + np.exp(-odds))).mean() < 0.05
+    assert ((found[of.ravel()] > 0.5) == truth).mean() > 0.93
+
+
+def test_logistic_regression_equals_a_plain_descent():
+    rng = np.random.default_rng(4)
+    x = np.column_stack([np.ones(300), rng.normal(size=(300, 4))])
+    truth, weight = 1 / (1 + np.exp(-x @ [0.3, 1, -2, 0, 0.5])), np.full(300, 1 / 300)
+    w = np.zeros(5)
+    for _ in range(20_000):
+        w -= 1.0 * (x.T @ (weight * (1 / (1 + np.exp(-x @ w)) - truth)) + 1e-4 * w)
+    assert np.abs(pii.logistic(x, truth, weight) - w).max() < 1e-4
+
+
+def test_span_classifier_tells_spans_with_equal_votes_apart():
+    good, bad, loose = (1, 1, 1, 1, 1), (-1, 0, -1, -1, -1), (-1, 1, 0, 0, 0)
+    # Loose spans with these votes stand where the certain ones stand, or where the rejected ones do.
+    rows = [("email", good, (2, 2, 1, 0), 900), ("email", bad, (0, 4, 3, 2), 900), ("email", loose, (2, 2, 1, 0), 40), ("email", loose, (0, 4, 3, 2), 40)]
+    model = pii.fit_counts(rows)
+    assert model.probability("email", (2, 2, 1, 0)) > 0.9 and model.probability("email", (0, 4, 3, 2)) < 0.1
+    assert model.probability("ip", (2, 2, 1, 0)) == 0.0 and pii.fit_counts([]).weights == {}
+
+
+def test_numbers_that_fail_their_rule_are_never_added():
+    rows = [("card", (1, 1, 1, 1, 1), (1, 0, 3, 0), 500), ("card", (-1, -1, 1, 0, 1), (1, 0, 3, 0), 400)]
+    model = pii.fit_counts(rows)
+    model.threshold = 0.0
+    assert pii.spans("pay 4111 1111 1111 1112 now", model) == ([], [])
+
+
 @pytest.mark.parametrize("operator, folds, fold, label, most_wrong", [(quality, 4, 2, "quality", 0.05), (toxicity, 5, 0, "toxic", 0.08)])
 def test_classifiers_on_held_out_rows(spark, odd, operator, folds, fold, label, most_wrong):
     big = "/root/testdata/sf0.01"
