@@ -10,8 +10,10 @@ import pickle
 from collections.abc import Iterator, Sequence
 from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +22,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulseboard.session import stage
 
-SLOT, STATE, ROW = "_slot", "_state", "_row"
+SLOT, STATE, STATES, ROW = "_slot", "_state", "_states", "_row"
 
 
 class Aggregate(Protocol):
-    """A mergeable aggregate. ``merge`` has to be associative and commutative; a state is any picklable value."""
+    """A mergeable aggregate. ``merge`` has to be associative and commutative; a state is any picklable value.
+
+    An aggregate for tables of many small groups may also have ``of_groups(rows, starts)``: the states of all groups of an Arrow table at
+    once, whose rows are in the order of the groups; group ``i`` begins at row ``starts[i]``. Without it each group is added by itself.
+    """
 
     def create(self) -> Any:
         """The state of no rows."""
@@ -68,26 +74,34 @@ def merged(df: DataFrame, keys: Sequence[str], aggregate: Aggregate, result: str
             if keys:
                 at = pa.array(range(table.num_rows), pa.int64())
                 groups = table.select(keys).append_column(ROW, at).group_by(keys).aggregate([(ROW, "list")])
-                found = zip(*(groups.column(k).to_pylist() for k in keys), groups.column(f"{ROW}_list"), strict=True)
+                members = groups.column(f"{ROW}_list").combine_chunks()
+                found = zip(*(groups.column(k).to_pylist() for k in keys), strict=True)
+                table, sizes = table.take(members.flatten()), members.value_lengths().to_numpy()
             else:
-                found = [(None,)]
-            for *key, rows in found:
-                own = table.take(rows.values) if keys else table
-                key = tuple(key)
-                states[key] = aggregate.add(states[key] if key in states else aggregate.create(), own.to_pandas())
+                found, sizes = [()], np.array([table.num_rows])
+            starts = np.cumsum(sizes) - sizes
+            if hasattr(aggregate, "of_groups"):
+                for key, own in zip(found, aggregate.of_groups(table, starts), strict=True):
+                    states[key] = aggregate.merge(states[key], own) if key in states else own
+            else:
+                for key, begin, size in zip(found, starts.tolist(), sizes.tolist(), strict=True):
+                    rows = table.slice(begin, size).to_pandas()
+                    states[key] = aggregate.add(states[key] if key in states else aggregate.create(), rows)
             if len(states) > held:
                 yield passed_on()
                 states.clear()
         if states:
             yield passed_on()
 
-    def put_together(table: pa.Table) -> pa.Table:
-        total = None
-        for raw in table.column(STATE):
-            state = pickle.loads(raw.as_py())
-            total = state if total is None else aggregate.merge(total, state)
-        key = tuple(table.column(k)[0].as_py() for k in keys)
-        return pa.Table.from_batches([batch_of(part_arrow, [(*key, table.column("_up")[0].as_py(), pickle.dumps(total))])])
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for *key, raw in zip(*(batch.column(c).to_pylist() for c in [*keys, SLOT, STATES]), strict=True):
+                total = pickle.loads(raw[0])
+                for other in raw[1:]:
+                    total = aggregate.merge(total, pickle.loads(other))
+                rows.append((*key, pickle.dumps(total)))
+            yield batch_of(part_arrow, rows)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +111,9 @@ def merged(df: DataFrame, keys: Sequence[str], aggregate: Aggregate, result: str
     states = stage(df.mapInArrow(add_up, part), "states")
     last = states.agg(F.max(SLOT)).first()[0] or 0
     while True:
-        states = states.withColumn("_up", F.expr(f"{SLOT} div {fan}")).groupBy(*keys, "_up").applyInArrow(put_together, part)
+        # A node's states are few, so Spark gathers them and one call merges the nodes of a whole batch.
+        nodes = states.groupBy(*keys, F.expr(f"{SLOT} div {fan}").alias(SLOT)).agg(F.collect_list(STATE).alias(STATES))
+        states = nodes.mapInArrow(put_together, part)
         if last < fan:
             break
         last //= fan
@@ -105,7 +121,7 @@ def merged(df: DataFrame, keys: Sequence[str], aggregate: Aggregate, result: str
 
 
 class LatestWithTotal:
-    """The value of the last row, by ``order``, and the sum of a measure."""
+    """The value of the last row, by ``order`` (nulls last), and the sum of a measure."""
 
     def __init__(self, order: Sequence[str], value: str, measure: str):
         self.order, self.value, self.measure = list(order), value, measure
@@ -114,9 +130,20 @@ class LatestWithTotal:
         return None, None, 0
 
     def add(self, state, rows):
-        last = rows.sort_values(self.order).iloc[-1]
-        own = (tuple(last[c] for c in self.order), last[self.value], int(rows[self.measure].sum()))
-        return self.merge(state, own)
+        return self.merge(state, self.of_groups(pa.Table.from_pandas(rows, preserve_index=False), np.array([0]))[0])
+
+    def of_groups(self, rows, starts):
+        sizes = np.diff(np.append(starts, rows.num_rows))
+        group = pa.array(np.repeat(np.arange(len(starts)), sizes))
+        ordered = pc.sort_indices(pa.table([group, *(rows.column(c) for c in self.order)], names=[ROW, *self.order]),
+                                  sort_keys=[(ROW, "ascending"), *((c, "ascending") for c in self.order)], null_placement="at_end")
+        last = rows.take(ordered.take(pa.array(starts + sizes - 1)))
+        measure = pd.Series(rows.column(self.measure).fill_null(0).to_numpy()).fillna(0)
+        if measure.dtype.kind in "iu":
+            measure = measure.astype("int64")
+        totals = np.add.reduceat(measure.to_numpy(), starts).tolist()
+        at = zip(*([(v is None, v) for v in last.column(c).to_pylist()] for c in self.order), strict=True)
+        return [(a, v, int(t)) for a, v, t in zip(at, last.column(self.value).to_pylist(), totals, strict=True)]
 
     def merge(self, state, other):
         later = state if other[0] is None or (state[0] is not None and state[0] >= other[0]) else other

@@ -71,3 +71,24 @@ def test_a_hot_key_is_one_state_per_task(spark, monkeypatch):
     df = spark.createDataFrame(ROWS, "a string, b long, v long").repartition(6)
     merging.merged(df, ["a"], spread(), "n bigint, low bigint, high bigint").collect()
     assert seen["hot"] <= 6 and sum(a == "hot" for a, _, _ in ROWS) == 1_800
+
+
+def test_many_small_groups_are_added_at_once(spark):
+    """One call a batch makes the states of all its groups; nulls of the order come last and large numbers stay whole."""
+
+    def counted():
+        class Counted(merging.LatestWithTotal):
+            def add(self, state, rows):
+                raise AssertionError("a call per group")
+
+        return Counted(["t", "id"], "v", "m")
+
+    rows = [(f"u{n % 700}" if n % 700 else None, None if n % 700 == 5 and n < 1_400 else n // 3_000, (1 << 60) + n, f"v{n}", None if n % 3 else (1 << 40) + n)
+            for n in range(9_000)]
+    want = {}
+    for key, t, i, v, m in rows:
+        best, total = want.get(key, ((), 0))
+        want[key] = max(best, ((t is None, t or 0), i, v)), total + (m or 0)
+    df = spark.createDataFrame(rows, "k string, t long, id long, v string, m long").repartition(6)
+    got = merging.merged(df, ["k"], counted(), "v string, cnt bigint", fan=2, held=100)
+    assert {r["k"]: (r["v"], r["cnt"]) for r in got.collect()} == {k: (best[2], total) for k, (best, total) in want.items()}
