@@ -12,11 +12,13 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseboard.operators.search import B, K1, MAX_EXPANSIONS, PREFIX_LENGTH, allowed_edits, words
-from pulseboard.session import files_state, new_path
+from pulseboard.session import files_state, new_path, path_exists, stage
 
 #: First characters whose hash places a word in the dictionary.
 HEAD = 3
@@ -56,6 +58,24 @@ def variants_of(term: str, edits: int) -> list[str]:
                    for n in range(min(edits, len(start)) + 1) for gone in combinations(range(len(start)), n)})
 
 
+def term_counts(words: Column) -> Column:
+    """The different words of each text with their numbers, so that a word leaves its document once."""
+
+    @F.arrow_udf("array<struct<word string, tf int>>")
+    def run(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        coded = flat.dictionary_encode()
+        distinct = max(len(coded.dictionary), 1)
+        at = np.repeat(np.arange(len(sizes)), sizes) * distinct + coded.indices.to_numpy(zero_copy_only=False)
+        found, times = np.unique(at, return_counts=True)
+        each = np.bincount(found // distinct, minlength=len(sizes))
+        pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(found % distinct)), pa.array(times, pa.int32())], ["word", "tf"])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(each)]), pa.int32()), pairs)
+
+    return run(words)
+
+
 class InvertedIndex:
     """The tables of an index in one folder."""
 
@@ -68,23 +88,22 @@ class InvertedIndex:
     def build(cls, docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, spread: int = 4) -> InvertedIndex:
         """Write the index of ``docs`` to the new folder ``path``.
 
-        Texts are read once for the postings and once for the totals. Postings of one shard are dealt over ``spread`` tasks by document, so the postings of a word that
-        all documents share are not one task's work. A null text has no words and no length; its document counts in the totals.
+        Texts are read once: the counts of a document's words are made beside it and stored, and only these are shuffled, once. Postings of one shard
+        are dealt over ``spread`` tasks by document, so the postings of a word that all documents share are not one task's work. A null text has no words
+        and no length; its document counts in the totals. The deletion neighbourhoods are stored by the first search that looks words up in them.
         """
         index = cls(docs.sparkSession, path, shards)
         scanned = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), words(F.col(text)).alias("ws"))
-        lengths = scanned.select("doc_id", "ws", F.size("ws").alias("length"))
-        counts = lengths.select("doc_id", "length", F.explode("ws").alias("word")).groupBy("doc_id", "length", "word").agg(F.count(F.lit(1)).alias("tf"))
-        placed = counts.withColumn("shard", _shard(F.col("word"), shards))
-        (placed.select("word", "doc_id", "length", "tf", "shard")
-         .repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(spread))).sortWithinPartitions("shard", "word", "doc_id")
+        lengths = stage(scanned.select("doc_id", F.size("ws").alias("length"), term_counts(F.col("ws")).alias("counts")), "term-counts")
+        placed = (lengths.select("doc_id", "length", F.inline("counts"))
+                  .withColumn("shard", _shard(F.col("word"), shards)).withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(spread))))
+        # Rows of one document that come several times are added up where they meet, without another shuffle.
+        (placed.repartition("shard", "deal").groupBy("shard", "deal", "word", "doc_id", "length").agg(F.sum("tf").alias("tf"))
+         .select("word", "doc_id", "length", "tf", "shard").sortWithinPartitions("shard", "word", "doc_id")
          .write.partitionBy("shard").parquet(f"{path}/postings"))
         dictionary = index.postings().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
         (dictionary.withColumn("shard", _shard(F.substring("word", 1, HEAD), shards))
          .repartition("shard").sortWithinPartitions("shard", "word").write.partitionBy("shard").parquet(f"{path}/dictionary"))
-        (index.dictionary().select(F.explode(deletion_variants(F.col("word"))).alias("variant"), "word", "df")
-         .withColumn("shard", _shard(F.col("variant"), shards))
-         .repartition("shard").sortWithinPartitions("shard", "variant").write.partitionBy("shard").parquet(f"{path}/variants"))
         # The totals come last: an index without them is not finished.
         lengths.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("avg_length")).coalesce(1).write.parquet(f"{path}/corpus")
         return index
@@ -99,6 +118,11 @@ class InvertedIndex:
         return self._table("dictionary", _DICTIONARY)
 
     def variants(self) -> DataFrame:
+        """The deletion neighbourhoods, made from the dictionary if no search has needed them yet."""
+        if not path_exists(self.spark, f"{self.path}/variants/_SUCCESS"):
+            (self.dictionary().select(F.explode(deletion_variants(F.col("word"))).alias("variant"), "word", "df")
+             .withColumn("shard", _shard(F.col("variant"), self.shards))
+             .repartition("shard").sortWithinPartitions("shard", "variant").write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/variants"))
         return self._table("variants", _VARIANTS)
 
     def corpus(self) -> DataFrame:

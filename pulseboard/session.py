@@ -73,6 +73,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/pulseboard/{spark.sparkContext.applicationId}"
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def drop_path(spark: SparkSession, name: str) -> None:
     """Remove a folder, if it is there."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)

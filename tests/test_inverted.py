@@ -80,3 +80,19 @@ def test_an_index_is_built_once_and_again_after_a_change(spark, docs):
 def test_an_empty_table_finds_nothing(spark, docs):
     empty = inverted.InvertedIndex.build(docs.limit(0), new_path(spark, "empty-index"), shards=2)
     assert empty.search("alpha").count() == 0
+
+
+def test_words_are_counted_in_their_document(spark, docs, monkeypatch):
+    """The texts are read for one stored table of counts; rows of one document are added up, and no variant is made before a search needs it."""
+    stored = []
+    keep = inverted.stage
+    monkeypatch.setattr(inverted, "stage", lambda df, name: stored.append(keep(df, name)) or stored[-1])
+    twice = docs.unionByName(docs.where("doc_id < 3"))
+    index = inverted.InvertedIndex.build(twice, new_path(spark, "counted-index"), shards=4)
+    counts = {(r["doc_id"], r["word"]): r["tf"] for r in stored[0].select("doc_id", F.inline("counts")).where("doc_id > 2").collect()}
+    assert counts[(6, "abc")] == 50 and stored[0].count() == len(DOCS) + 2
+    assert scores(index.searches(["alpha", "beta"])) == pytest.approx(scores(search.fuzzy_searches(twice, ["alpha", "beta"])))
+    assert not inverted.path_exists(spark, f"{index.path}/variants")
+    wide = {"prefix_length": 0, "most": None}
+    assert scores(index.searches(["alpha"], **wide)) == pytest.approx(scores(search.fuzzy_searches(twice, ["alpha"], prefix_length=0, max_expansions=None)))
+    assert inverted.path_exists(spark, f"{index.path}/variants/_SUCCESS")
