@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents for training."""
+"""Labelled documents for training: all of them, or a bounded sample."""
 
 from __future__ import annotations
 
@@ -11,15 +11,19 @@ def held_out(folds: int, fold: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
 
 
+def labelled_ids(labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """(doc_id, label) of every labelled document outside the held-out fold."""
+    return (labels.where(F.col(label).isNotNull() & ~held_out(folds, fold) & F.col("doc_id").isNotNull())
+            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, max_chars: int) -> list[tuple[str, int]]:
     """(text, label) of at most ``rows`` labelled documents outside the held-out fold, ordered by a hash of the id.
 
     Texts over ``max_chars`` characters are not trained on. The ids are chosen from the labels alone, so that only their
     documents are joined; the list of ids is bounded by twice ``rows``.
     """
-    ids = (labels.where(F.col(label).isNotNull() & ~held_out(folds, fold) & F.col("doc_id").isNotNull())
-           .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows))
+    ids = labelled_ids(labels, label, folds, fold).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
     chosen = (docs.select(F.col("doc_id"), "text").where(F.length("text") <= max_chars)
               .join(F.broadcast(ids), "doc_id")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).select("text", "label"))

@@ -355,6 +355,29 @@ def test_classifiers_on_held_out_rows(spark, odd, operator, folds, fold, label,
     assert operator.score_documents(odd.limit(0), labels).count() == 0
 
 
+def test_quality_is_trained_on_every_labelled_document(spark):
+    rows = [(n, f"plain words of text {n}. " * (6_000 if n == 1 else 3)) for n in range(60)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.range(60).selectExpr("id as doc_id", "int(id % 5 > 0) as quality")
+    known = labels.where(~quality.held_out(4, 2))
+    got = quality.training_features(docs, labels)
+    assert got.count() == known.count() and max(np.frombuffer(r["x"])[2 * quality.CLASSES] for r in got.collect()) > np.log(100_000)
+    good = known.where("quality = 1").count()
+    blocks = quality._blocks(got, good, known.count() - good).collect()
+    assert [(len(b["good"]), len(b["bad"])) for b in blocks] == [tuple(8 * quality.FEATURES * m for m in (good, known.count() - good))]
+    many = spark.range(9_000).selectExpr("xxhash64(id) as h", "int(id % 100 > 0) as label", "cast(lpad(id, 8, '0') as binary) as x")
+    dealt = quality._blocks(many, 8_910, 90).collect()
+    assert len(dealt) == 9 and all(b["bad"] for b in dealt) and sum(len(b["good"]) for b in dealt) == 8 * 8_910
+
+
+def test_sums_over_all_pairs():
+    rng = np.random.default_rng(1)
+    good, bad, w = rng.normal(size=(1_030, 3)), rng.normal(size=(5, 3)), np.array([0.5, -0.2, 0.1])
+    d = (good[:, None] - bad[None]).reshape(-1, 3)
+    p = 1 / (1 + np.exp(d @ w))
+    want = np.concatenate([[len(d)], d.T @ p, ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+    assert np.allclose(quality.pair_sums(good, bad, w), want)
+
+
 def test_gapped_words_stay_near():
     marks = toxicity.Landmarks([toxicity.unit("worthless")])
     near = marks.words(["worthless", "w.o.r.t.h.l.e.s.s", "worxthless", "wrthless", "W0RTHLESS".lower(), "meadow", "x" * 500])[:, 0]
