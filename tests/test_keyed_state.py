@@ -83,6 +83,22 @@ def test_a_stream_join_finds_the_sequences_of_the_table(spark):
         assert max(held) < len(rows)
 
 
+def test_a_crowded_cell_of_the_stream_join_makes_no_pairs(spark):
+    """Equal times and repeated rows among 1,200 events of a few minutes; before, each event and each start's pairs were rows of the state."""
+    first = datetime.datetime(2024, 1, 1)
+    rows = [(k, first + datetime.timedelta(seconds=k // 7), "hot", k % 3 or None) for k in range(1_200)]
+    rows += rows[:50] + [(9_000, first + datetime.timedelta(hours=2), "hot", 1), (9_001, first + datetime.timedelta(hours=4), "hot", 2)]
+    session, path = stream_session(spark, partitions=2), feed(spark, rows, 3)
+    start, end = F.col("value") == 1, F.col("value") == 2
+    sides = [monitored_table(session, path, spark.createDataFrame([], SCHEMA).schema, files_per_batch=1) for _ in range(2)]
+    out = new_path(spark, "out")
+    done = drain(followed_by_join(*sides, start, end, 300, "ts", "id", ["kind"], delay="200 seconds"), append_batch(out), new_path(spark, "cp"))
+    want = {(k, next(e for e in range(k + 1, 1_200) if e % 3 == 2)) for k in range(1, 1_200, 3) if k < 1_199}
+    got = [(r["start"]["id"], r["end"]["id"]) for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert max(sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in done.recentProgress) < 100
+
+
 def test_stream_queries_take_their_input_in_several_batches(spark, folder):
     for name in ("agg1_hourly_pv_uv_stream", "snk15_several_sinks_stream", "jn3_refreshed_lookup_stream"):
         QUERIES[name].run(spark, folder).count()
