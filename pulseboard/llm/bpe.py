@@ -1,8 +1,9 @@
 """Byte-level BPE by recursive queries.
 
 Each partition has one in-memory DuckDB session with the merge table. The words of its texts that it has not met
-before become token-position rows; a recursive query joins neighbouring tokens to the merge table and
-contracts, in every word, the leftmost pair of the smallest rank, until no pair of a word can be merged. An
+before become token-position rows. Byte pairs that no other merge can come before are contracted first; then a recursive
+query joins neighbouring tokens to the merge table and contracts, in every word, the leftmost pair of the smallest rank,
+until no pair of a word can be merged. An
 ordered aggregation over the tokens' bytes decodes them. Texts are split by the pattern first; each match is
 encoded separately, so a text's tokens are its words' tokens on end.
 """
@@ -20,28 +21,30 @@ from pyspark.sql import functions as F
 
 from pulseboard.llm.arrow_text import bounded_batches, pieces, texts
 
-#: Words kept per worker between batches; when full the memory is emptied, which costs time only.
-KEPT_WORDS = 400_000
+#: Words of a generation that a worker keeps between batches. A full one becomes the former one, from which words that come again are taken over.
+KEPT_WORDS = 200_000
 #: Words of up to this many bytes are not looked through for places to cut.
 UNCUT_BYTES = 64
 #: Stretches of a word longer than this (bytes) go through ``CONTRACT_RUNS``: the same contractions, many in a step.
 LONG_BYTES = 200
+NEVER = 2**31 - 1
 
 _FIXPOINT = """
-SELECT s.word, count(*) AS n, string_agg(s.token::VARCHAR, ',' ORDER BY s.pos) AS ids,
-       unhex(string_agg(hex(v.bytes), '' ORDER BY s.pos)) AS decoded
-FROM state s JOIN vocabulary v ON v.token = s.token
-WHERE s.done GROUP BY s.word
+SELECT word, array_to_string(list_transform(tokens, lambda t: t.id), ',') AS ids,
+       unhex(array_to_string(list_transform(tokens, lambda t: t.hex), '')) AS decoded
+FROM (SELECT s.word, list({'id': v.id, 'hex': v.hex} ORDER BY s.pos) AS tokens
+      FROM state s JOIN vocabulary v ON v.token = s.token WHERE s.done GROUP BY s.word)
 """
 
+#: Places count on from word to word, so one order serves all words.
 CONTRACT = """
 WITH RECURSIVE state(word, pos, token, done) AS (
     SELECT word, pos, token, false FROM start
   UNION ALL
     (WITH pairs AS MATERIALIZED (
         SELECT p.word, p.pos, p.token, p.before, m.rank
-        FROM (SELECT word, pos, token, lead(token) OVER w AS follower, lag(pos) OVER w AS before
-              FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)) p
+        FROM (SELECT word, pos, token, CASE WHEN lead(word) OVER w = word THEN lead(token) OVER w END AS follower, lag(pos) OVER w AS before
+              FROM state WHERE NOT done WINDOW w AS (ORDER BY pos)) p
         LEFT JOIN merges m ON m.left_token = p.token AND m.right_token = p.follower),
       best AS (SELECT word, min(rank::BIGINT * 4294967296 + pos) AS best FROM pairs GROUP BY word)
      SELECT word, pos, CASE WHEN pos = best % 4294967296 THEN rank ELSE token END, best IS NULL
@@ -98,6 +101,9 @@ class Coder:
         self.spelled = {number: token for token, number in self.ranks.items()}
         left, right, merged = [], [], []
         self.meets = np.zeros((256, 256), bool)
+        # Of two bytes: the token they make, and the smallest rank at which a token that ends in the first takes in the
+        # second, and at which the first takes in a token that begins with the second.
+        self.makes, self.gives_second, self.gives_first = (np.full((256, 256), NEVER, np.int32) for _ in range(3))
         for token, number in self.ranks.items():
             for cut in range(1, len(token)):
                 self.meets[token[cut - 1], token[cut]] = True
@@ -106,26 +112,42 @@ class Coder:
                     left.append(a)
                     right.append(b)
                     merged.append(number)
+                    for is_byte, least in ((cut == len(token) - 1, self.gives_second), (cut == 1, self.gives_first)):
+                        if is_byte:
+                            least[token[cut - 1], token[cut]] = min(least[token[cut - 1], token[cut]], number)
         self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
-        vocabulary = pa.table({"token": pa.array(self.spelled, pa.int32()), "bytes": pa.array(self.spelled.values(), pa.binary())})
+        vocabulary = pa.table({"token": pa.array(self.spelled, pa.int32()), "id": [str(t) for t in self.spelled],
+                               "bytes": pa.array(self.spelled.values(), pa.binary()), "hex": [b.hex() for b in self.spelled.values()]})
         names = ("left_token", "right_token", "rank", "made")
         merges = pa.table({n: pa.array(c, pa.int32()) for n, c in zip(names, (left, right, merged), strict=False)})
         # Merges that take in a token made at a larger rank.
         rows = [(a, b, m, made) for a, b, m in zip(left, right, merged, strict=True) for made in {a, b} if m < made]
         lower = pa.table({n: pa.array([r[k] for r in rows], pa.int32()) for k, n in enumerate(names)})
+        turning = {made for *_, made in rows}
+        for token, number in self.ranks.items():
+            if len(token) == 2 and number not in turning:
+                self.makes[token[0], token[1]] = number
         for name, table in (("vocabulary", vocabulary), ("merges", merges), ("lower", lower)):
             self.db.register("rows", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
             self.db.unregister("rows")
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.former: dict[str, tuple[str, bytes]] = {}
 
     def learn(self, words: Iterable[str]) -> None:
-        """Encode and decode words and remember the outcome: number of tokens, ids as text, decoded bytes."""
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > KEPT_WORDS:
-            self.known.clear()
-            fresh = list(words)
+        """Encode and decode words and remember the outcome in ``known``: ids as text, decoded bytes."""
+        missing = [w for w in words if w not in self.known]
+        if len(self.known) + len(missing) > KEPT_WORDS:
+            self.former, self.known = self.known, {}
+            missing = list(words)
+        fresh = []
+        for word in missing:
+            kept = self.former.get(word)
+            if kept is None:
+                fresh.append(word)
+            else:
+                self.known[word] = kept
         for at in range(0, len(fresh), 100_000):
             self._learn(fresh[at:at + 100_000])
 
@@ -156,8 +178,8 @@ class Coder:
             ready = dict(zip(short, self._recurse([stretches[k] for k in short], CONTRACT), strict=True))
             ready.update(zip(long, self._recurse([stretches[k] for k in long], CONTRACT_RUNS), strict=True))
             for word, first, end in cut:
-                counts, ids, decoded = zip(*(ready[k] for k in range(first, end)), strict=True)
-                known[word] = sum(counts), ",".join(ids), b"".join(decoded)
+                ids, decoded = zip(*(ready[k] for k in range(first, end)), strict=True)
+                known[word] = ",".join(ids), b"".join(decoded)
 
     def _stretches(self, raw: bytes) -> list[bytes]:
         """Cut a long word where two bytes meet that no token holds together: no merge crosses there."""
@@ -166,25 +188,45 @@ class Coder:
         edges = [0, *cuts.tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    def _recurse(self, stretches: list[bytes], query: str) -> list[tuple[int, str, bytes]]:
-        if not stretches:
-            return []
+    def _start(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word, place and token of every byte, after the byte pairs that are contracted in any case.
+
+        Such a pair has a smaller rank than every merge that could take its first byte to the left or its second to the
+        right, so nothing takes them before; and its token is part of no merge of a smaller rank, so made early it
+        changes no later choice. Two such pairs never overlap.
+        """
         lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        data = np.frombuffer(b"".join(stretches), np.uint8)
         word = np.repeat(np.arange(len(stretches), dtype=np.int32), lengths)
-        pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        token = self.byte_token[np.frombuffer(b"".join(stretches), np.uint8)]
-        self.db.register("start", pa.table({"word": word, "pos": pos, "token": token}))
+        token = self.byte_token[data]
+        both = data[:-1], data[1:]
+        apart = word[:-1] != word[1:]
+        rank, left, right = (np.where(apart, NEVER, table[both]) for table in (self.makes, self.gives_second, self.gives_first))
+        sure = rank < NEVER
+        sure[1:] &= rank[1:] < left[:-1]
+        sure[:-1] &= rank[:-1] < right[1:]
+        at = np.flatnonzero(sure)
+        token[at] = rank[at]
+        left_over = np.ones(len(data), bool)
+        left_over[at + 1] = False
+        pos = np.flatnonzero(left_over)
+        return word[pos], pos, token[pos]
+
+    def _recurse(self, stretches: list[bytes], query: str) -> list[tuple[str, bytes]]:
+        if not stretches:
+            return []
+        self.db.register("start", pa.table(dict(zip(("word", "pos", "token"), self._start(stretches), strict=True))))
         got = self.db.sql(query).to_arrow_table()
         self.db.unregister("start")
         got = got.take(pa.array(np.argsort(got.column("word").to_numpy())))
-        return list(zip(*(got.column(c).to_pylist() for c in ("n", "ids", "decoded")), strict=True))
+        return list(zip(*(got.column(c).to_pylist() for c in ("ids", "decoded")), strict=True))
 
-    def _decode(self, tokens: list[int]) -> list[tuple[int, str, bytes]]:
+    def _decode(self, tokens: list[int]) -> list[tuple[str, bytes]]:
         """Words that are one token, decoded by the vocabulary table."""
         if not tokens:
             return []
         self.db.register("given", pa.table({"pos": np.arange(len(tokens)), "token": np.array(tokens, np.int32)}))
-        got = self.db.execute("SELECT 1, token::VARCHAR, v.bytes FROM given JOIN vocabulary v USING (token) ORDER BY pos").fetchall()
+        got = self.db.execute("SELECT v.id, v.bytes FROM given JOIN vocabulary v USING (token) ORDER BY pos").fetchall()
         self.db.unregister("given")
         return got
 
@@ -218,8 +260,9 @@ def encoded_rows(column: pa.Array, ranks: bytes, pattern: str) -> Iterator[tuple
             if not words:
                 yield 0, "", b""
                 continue
-            counts, ids, decoded = zip(*map(known.__getitem__, words), strict=True)
-            yield sum(counts), ",".join(ids), b"".join(decoded)
+            found = [known[w] for w in words]
+            ids = ",".join([i for i, _ in found])
+            yield ids.count(",") + 1, ids, b"".join([d for _, d in found])
 
 
 def encode(text: Column, ranks: bytes, pattern: str, digest: bool = False) -> Column:

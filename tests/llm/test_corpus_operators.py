@@ -1,5 +1,6 @@
 """The corpus operators against plain versions, and on nulls, empty and long texts, ties, repeats and empty tables."""
 
+import base64
 import hashlib
 import math
 import re
@@ -264,6 +265,44 @@ def test_bpe_equals_the_library(odd, docs):
     assert bpe.encode_documents(odd.limit(0), ranks, pattern).count() == 0
 
 
+def plain_bpe(raw, ranks):
+    parts = [raw] if raw in ranks else [bytes([b]) for b in raw]
+    while found := [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:  # noqa: B905
+        k = min(found)[1]
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+    return [ranks[x] for x in parts]
+
+
+def test_bpe_by_any_table_of_ranks():
+    rng = np.random.default_rng(3)
+    early = 0
+    for turn in range(24):
+        letters = "abcdefgh"[:3 + turn % 6]
+        tokens = sorted({"".join(rng.choice(list(letters), rng.integers(2, 5))) for _ in range(40)})
+        # Ranks by length or, as no training would give them, in any order: tokens are also made of tokens of larger ranks.
+        order = sorted(tokens, key=len) if turn % 4 == 0 else list(rng.permutation(tokens))
+        ranks = {bytes([b]): b for b in range(256)} | {str(t).encode(): 256 + r for r, t in enumerate(order)}
+        own = bpe.Coder(b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items()))
+        words = sorted({"".join(rng.choice(list(letters), rng.integers(1, 14))) for _ in range(200)}) + ["abcab" * 60, "a" * 90]
+        own.learn(words)
+        want = {w: ",".join(map(str, plain_bpe(w.encode(), ranks))) for w in words}
+        assert {w: own.known[w][0] for w in words} == want and all(own.known[w][1] == w.encode() for w in words)
+        early += sum(map(len, words)) - len(own._start([w.encode() for w in words])[0])
+    assert early > 1_000
+
+
+def test_bpe_takes_known_words_over_when_its_memory_is_full(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 6)
+    ranks, pattern = tokenizer()
+    own, coded = bpe.Coder(ranks), []
+    encode = own._learn
+    own._learn = lambda words: (coded.extend(words), encode(words))
+    for n in range(8):
+        own.learn({"the", "house", f"word{n}", f"other{n}"})
+        assert own.known.keys() >= {"the", "house", f"word{n}"}
+    assert len(coded) == len(set(coded)) == 18 and len(own.known) + len(own.former) <= 12
+
+
 def plain_spans(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
