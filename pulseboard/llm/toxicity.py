@@ -11,6 +11,7 @@ as one mild word in a long text means less than several.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -31,7 +32,9 @@ QUIET = 0.35  # kernel values below count as nothing in common
 LANDMARKS = 96
 TRAIN_DOCS = 3_000
 TRAIN_CHARS = 40_000
+#: Words of a generation that a scorer keeps. A full one becomes the former one, whose words count as known too.
 KEPT_WORDS = 400_000
+PAIRS = 2_000  # compared at a time: their tables stay in the processor's cache
 SUMMARY = 7
 _LOOKS_LIKE = str.maketrans("013457@$!", "oieastasi")
 _MARKS = re.compile(r"[.!?]+")
@@ -41,13 +44,16 @@ _INNER = re.compile(r"(?<=[^\s.!?])[.!?]+(?=[^\s.!?])")
 
 def unit(word: str) -> str:
     """What is compared of a word: lower case, look-alike digits as letters, letters only, with a mark in front that counts twice."""
+    if word.isalpha():  # nothing to change
+        return "^^" + word
     bare = word.strip(".,;:!?()[]{}\"'*#%&|<>").translate(_LOOKS_LIKE)
-    return "^^" + "".join(c for c in bare if c.isalpha())
+    return "^^" + bare if bare.isalpha() else "^^" + "".join(c for c in bare if c.isalpha())
 
 
 def joined(words: list[str]) -> list[str]:
     """Words of a sentence; three or more single characters in a row also count as one word."""
-    if sum(len(w) == 1 for w in words) < 3:
+    lengths = list(map(len, words))
+    if lengths.count(1) < 3 or b"\1\1\1" not in bytes([n == 1 for n in lengths]):
         return words
     out, run = list(words), []
     for w in [*words, "  "]:
@@ -93,18 +99,17 @@ def _raw_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     reach = np.where(steps[:, None] >= steps[None, :], DECAY ** np.maximum(steps[:, None] - steps[None, :], 0), 0).astype(np.float32)
     columns = np.ascontiguousarray(b.T)
     total = np.zeros(n, np.float32)
-    sums = [np.zeros((t, n), np.float32) for _ in range(2)]
-    before = [np.zeros((t, n), np.float32) for _ in range(2)]
+    match, once, twice, *state = (np.zeros((t, n), np.float32) for _ in range(7))
+    sums, before = state[:2], state[2:]
     for i in range(a.shape[1]):
-        match = (columns == a[:, i]).astype(np.float32) * DECAY * DECAY
-        ended = [match, None, None]
-        for p in (1, 2):
-            ended[p] = np.zeros_like(match)
-            ended[p][1:] = match[1:] * before[p - 1][:-1]
-        total += ended[2].sum(axis=0)
-        for p in (0, 1):
-            sums[p] = ended[p] + DECAY * sums[p]
-            before[p] = reach @ sums[p]
+        np.multiply(columns == a[:, i], DECAY * DECAY, out=match)
+        np.multiply(match[1:], before[0][:-1], out=once[1:])
+        np.multiply(match[1:], before[1][:-1], out=twice[1:])
+        total += twice.sum(axis=0)
+        for p, ended in enumerate((match, once)):
+            sums[p] *= DECAY
+            sums[p] += ended
+            np.matmul(reach, sums[p], out=before[p])
     return total
 
 
@@ -140,23 +145,26 @@ class Landmarks:
             used = np.unique(w)
             own = np.zeros(len(rows), np.float32)
             own[used] = _raw_kernel(codes[used], np.where(codes[used] == 2, np.uint32(1), codes[used]))
-            for cut in range(0, len(w), 8_000):
-                a, b = w[cut:cut + 8_000], m[cut:cut + 8_000]
+            for cut in range(0, len(w), PAIRS):
+                a, b = w[cut:cut + PAIRS], m[cut:cut + PAIRS]
                 k = _raw_kernel(codes[a], self.codes[b]) / np.sqrt(np.maximum(own[a] * self.own[b], 1e-12))
                 out[rows[a], b] = np.where(k >= QUIET, k, 0)
         return out
 
     def words(self, words: list[str]) -> np.ndarray:
-        """As ``compare`` for words of any length: the largest value over a long word's stretches."""
-        parts, of = [], []
-        for k, word in enumerate(words):
+        """As ``compare`` for words of any length: the largest value over a long word's stretches. What several words share is compared once."""
+        place: dict[str, int] = {}
+        parts, starts = [], []
+        for word in words:
             s = unit(word)
-            cut = [s] if len(s) <= WIDTH else [s[i:i + WIDTH] for i in range(0, len(s) - WIDTH // 2, WIDTH // 2)]
-            parts += cut
-            of += [k] * len(cut)
-        out = np.zeros((len(words), len(self.strings)), np.float32)
-        np.maximum.at(out, np.array(of, np.int64), self.compare(parts)) if parts else None
-        return out
+            starts.append(len(parts))
+            if len(s) <= WIDTH:
+                parts.append(place.setdefault(s, len(place)))
+            else:
+                parts += [place.setdefault(s[i:i + WIDTH], len(place)) for i in range(0, len(s) - WIDTH // 2, WIDTH // 2)]
+        if not words:
+            return np.zeros((0, len(self.strings)), np.float32)
+        return np.maximum.reduceat(self.compare(list(place))[parts], starts, axis=0)
 
 
 @dataclass
@@ -172,11 +180,13 @@ class Model:
 
 
 class Scorer:
-    """Scores texts; keeps what it has found for words it has seen."""
+    """Scores texts; keeps what it has found for words it has seen. ``values``: keep the kernel values too, which training needs."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, values: bool = True):
         self.model = model
+        self.values = values
         self.seen: set[str] = set()
+        self.former: set[str] = set()
         self.loud: dict[str, np.ndarray] = {}
         self.marked: dict[str, float] = {}
 
@@ -186,23 +196,23 @@ class Scorer:
         self.marked = {w: d for w, row in self.loud.items() if (d := float(row @ model.weights)) > 0}
 
     def learn(self, words: set[str]) -> None:
-        fresh = list(words - self.seen)
-        if not fresh or self.model.landmarks is None:
+        if self.model.landmarks is None:
             return
-        if len(self.seen) + len(fresh) > KEPT_WORDS:
-            self.seen.clear()
-            self.loud.clear()
-            self.marked.clear()
-            fresh = list(words)
-        self.seen.update(fresh)
+        missing = words - self.seen
+        if len(self.seen) + len(missing) > KEPT_WORDS:
+            self.former, self.seen, missing = self.seen, set(), words
+            self.loud = {w: row for w, row in self.loud.items() if w in self.former}
+            self.marked = {w: d for w, d in self.marked.items() if w in self.former}
+        self.seen |= missing
+        fresh = list(missing - self.former)
         for at in range(0, len(fresh), 20_000):
             part = fresh[at:at + 20_000]
             values = self.model.landmarks.words(part)
             decisions = values @ self.model.weights
-            for k in np.flatnonzero(values.any(axis=1)):
-                self.loud[part[k]] = values[k]
-                if decisions[k] > 0:
-                    self.marked[part[k]] = float(decisions[k])
+            for k in np.flatnonzero(decisions > 0):
+                self.marked[part[k]] = float(decisions[k])
+            for k in np.flatnonzero(values.any(axis=1)) if self.values else ():
+                self.loud[part[k]] = values[k].copy()
 
     def sentences(self, text: str) -> np.ndarray:
         """Kernel values of the sentences that have a word near a landmark."""
@@ -336,17 +346,30 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, max_chars: i
     return train(sample(docs, labels, "toxic", 5, 0, rows, max_chars))
 
 
+_SCORERS: dict[bytes, Scorer] = {}
+
+
+def scorer(model: Model) -> Scorer:
+    """The scorer of a worker process: the words it has met serve all its tasks. Only the last model's is kept."""
+    marks = model.landmarks.strings if model.landmarks else []
+    key = hashlib.sha256("\n".join(marks).encode() + model.weights.tobytes() + model.curve.tobytes()).digest()
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(model, values=False)
+    return _SCORERS[key]
+
+
 def score(text: Column, model: Model) -> Column:
     """Toxicity of each text, 0 to 1; null counts as empty."""
     bounded_batches()
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(model)
+        own = scorer(model)
         for batch in batches:
             out: list[float] = []
             for first, end, _, _ in pieces(batch, 1_000_000):
-                out += [model.score(row) for row in scorer.summaries(texts(batch.slice(first, end - first)))]
+                out += [model.score(row) for row in own.summaries(texts(batch.slice(first, end - first)))]
             yield pa.array(out, pa.float64())
 
     return run(text)

@@ -439,6 +439,40 @@ def test_sentence_marks_inside_words():
     assert "^^stupid" in toxicity.train(rows).landmarks.strings
 
 
+def test_words_are_compared_once(monkeypatch):
+    marks = toxicity.Landmarks([toxicity.unit(w) for w in ("idiot", "stupid")])
+    compared, compare = [], marks.compare
+    marks.compare = lambda strings: (compared.extend(strings), compare(strings))[1]
+    model = toxicity.Model(marks, np.ones(2), np.ones(toxicity.SUMMARY))
+    first = toxicity.scorer(model)
+    texts = ["an idiot, (idiot) said", 'the "idiot" and another', "", "one more"]
+    want = toxicity.Scorer(toxicity.Model(toxicity.Landmarks(marks.strings), np.ones(2), np.ones(toxicity.SUMMARY))).summaries(texts)
+    assert (first.summaries(texts) == want).all() and want[0, 1] == want[0, 2] > 0.9
+    assert len(compared) == len(set(compared)) == 8
+    # The next task of the worker knows these words, and so does one after the memory was full.
+    again = toxicity.scorer(toxicity.Model(marks, np.ones(2), np.ones(toxicity.SUMMARY)))
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 12)
+    for n in range(9):
+        assert (again.summaries([*texts, f"word{n}x", f"b{n}"]) == toxicity.Scorer(model).summaries([*texts, "word", "b"])).all()
+    assert again is first and len(again.seen | again.former) <= 24 and not again.loud
+    assert set(again.marked) == {"idiot,", "(idiot)", '"idiot"'}
+    assert toxicity.scorer(toxicity.Model(marks, 2 * np.ones(2), np.ones(toxicity.SUMMARY))) is not first
+
+
+def test_kernel_and_units_equal_plain_ones():
+    def plain(a, b):
+        spans = lambda s: [(s[i] + s[j] + s[k], k - i + 1) for i in range(len(s)) for j in range(i + 1, len(s)) for k in range(j + 1, len(s))]
+        return sum(0.6 ** (m + n) for x, m in spans(a) for y, n in spans(b) if x == y)
+
+    rng = np.random.default_rng(8)
+    strings = ["".join(rng.choice(list("abc"), n)) for n in (1, 2, 3, 4, 5, 7, 9, 9)]
+    got = [toxicity._raw_kernel(toxicity._grid([a] * len(strings), 2), toxicity._grid(strings, 1)) for a in strings]
+    assert np.allclose(got, [[plain(a, b) for b in strings] for a in strings], rtol=1e-4)
+    assert [toxicity.unit(w) for w in ("plain", "(id1ot!)", "ßé", "x\u0301y", "3", "")] == ["^^plain", "^^idiot", "^^ßé", "^^xy", "^^e", "^^"]
+    assert toxicity.joined(["a", "b", "cd", "e", "f", "g"]) == ["a", "b", "cd", "e", "f", "g", "efg"]
+    assert toxicity.joined(["a", "b", "cd", "e"]) == ["a", "b", "cd", "e"]
+
+
 def test_topk_equals_plain_search(spark):
     rng = np.random.default_rng(5)
     rows = [(k, [float(v) for v in rng.normal(size=10)]) for k in range(400)]
