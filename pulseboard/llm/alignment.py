@@ -37,8 +37,8 @@ from pulseboard.session import stage
 
 #: Bytes of a document's chunk, documents above it are reduced as a tree of chunks.
 CHUNK = 1 << 16
-#: Bytes of text whose pairs are counted together.
-PIECE = 1 << 22
+#: Characters of text whose pairs are counted together. A piece is one row, and readers, writers and sorts hold several of a task's rows at once.
+PIECE = 1 << 19
 #: Fragments composed by one group of the tree.
 FAN = 16
 #: Words that are tokenized as one text.
@@ -50,7 +50,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SHIFT = 32
 _BATCH = ("batch bigint, row array<bigint>, pos array<bigint>, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, "
           "n_groups array<bigint>, n_links array<bigint>, sha array<string>, body array<binary>, "
-          "words array<int>, word_at array<int>, links array<int>, link_at array<int>, keys array<bigint>, key_n array<bigint>")
+          "words binary, word_n binary, links binary, link_n binary, keys array<bigint>, key_n array<bigint>")
 _CHUNK = "row bigint, doc_id bigint, chunk bigint, a binary, a_end binary, b binary, b_end binary"
 _FRAGMENT = ("row bigint, doc_id bigint, node bigint, at bigint, a1 binary, a1_end binary, b1 binary, b1_end binary, "
              "a2 binary, a2_end binary, b2 binary, b2_end binary, closed boolean")
@@ -243,10 +243,9 @@ class Aligner:
             self.learned = [Facts(*(np.concatenate(p, axis=-1) for p in parts))]
         return self.learned[0]
 
-    def trim(self) -> None:
-        """Forget all words if they have become too many."""
-        if len(self.known) > KNOWN_WORDS or self.held > KNOWN_BYTES:
-            self.forget()
+    def full(self) -> bool:
+        """Whether the known words have become too many."""
+        return len(self.known) > KNOWN_WORDS or self.held > KNOWN_BYTES
 
 
 def _per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -255,6 +254,21 @@ def _per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Counts or places in the fewest bytes that hold the largest, behind the width."""
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or values.max() < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def _bounds(sizes: np.ndarray | list[int]) -> np.ndarray:
+    """Bounds of stretches of the given sizes that lie on end."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
 class _Piece(NamedTuple):
     """Units and the stretches they consist of."""
 
@@ -270,7 +284,6 @@ class _Piece(NamedTuple):
 def _batch_row(number: int, p: _Piece) -> dict[str, list]:
     """One row with the units of a piece, their stretches, the stretches' links and the distinct pairs."""
     n_links = p.facts.counts[3]
-    link_at = np.concatenate([[0], np.cumsum(n_links)])
     often = np.bincount(p.words, minlength=len(n_links))
     keys, links = np.unique(p.facts.pairs, return_inverse=True)
     key_n = np.bincount(links, weights=np.repeat(often, n_links), minlength=len(keys)).astype(np.int64)
@@ -282,7 +295,8 @@ def _batch_row(number: int, p: _Piece) -> dict[str, list]:
         "n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "n_links": counts[3],
         "sha": [hashlib.sha256(t).hexdigest() if t else "" for t in bodies] if p.hashed else [None] * len(bodies),
         "body": [None] * len(bodies) if p.hashed else bodies,
-        "words": p.words, "word_at": p.word_at, "links": links, "link_at": link_at, "keys": keys, "key_n": key_n,
+        "words": _packed(p.words), "word_n": _packed(np.diff(p.word_at)), "links": _packed(links), "link_n": _packed(n_links),
+        "keys": keys, "key_n": key_n,
     }
     return {k: [v] for k, v in values.items()}
 
@@ -336,22 +350,18 @@ def _tokenized(files: Vocabularies, chunk: int, piece: int):
         def flush() -> pa.RecordBatch:
             places = np.concatenate(found)
             # A text with a stretch that does not come back has no tokens at all.
-            keep = np.repeat(_per_text(~tool.facts().whole[places], bounds(sizes)) == 0, sizes)
+            keep = np.repeat(_per_text(~tool.facts().whole[places], _bounds(sizes)) == 0, sizes)
             distinct, numbers = np.unique(places[keep], return_inverse=True)
-            at = np.concatenate([[0], np.cumsum(keep)])[bounds(sizes)]
+            at = np.concatenate([[0], np.cumsum(keep)])[_bounds(sizes)]
             out = _batch_row(next(number), _Piece([next(number) for _ in ids], [0] * len(ids), ids, tool.facts().of(distinct), numbers, at, True))
-            tool.trim()
             return _arrow(schema, out)
 
-        def bounds(sizes: list[int]) -> np.ndarray:
-            return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-
         ids, found, sizes, held = [], [], [], 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
             words = [tool.stretches(t) if t else [] for t in texts]
             places = tool.look_up(list(chain.from_iterable(words)))
-            at = bounds(list(map(len, words)))
+            at = _bounds(list(map(len, words)))
             for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), texts, strict=True)):
                 own = places[at[k]:at[k + 1]]
                 if text and len(text.encode()) >= chunk:
@@ -363,10 +373,15 @@ def _tokenized(files: Vocabularies, chunk: int, piece: int):
                 found.append(own)
                 sizes.append(len(own))
                 held += len(text or "")
-            # The places hold until words are forgotten, so a piece ends with a batch.
-            if held >= piece and ids:
-                yield flush()
-                ids, found, sizes, held = [], [], [], 0
+                if held >= piece:
+                    yield flush()
+                    ids, found, sizes, held = [], [], [], 0
+            # The places hold until words are forgotten.
+            if tool.full():
+                if ids:
+                    yield flush()
+                    ids, found, sizes, held = [], [], [], 0
+                tool.forget()
         if ids:
             yield flush()
         # Workers outlive their task; what they hold is not there for the next stage.
@@ -461,7 +476,7 @@ def _fragment_columns(row: int, doc_id: int | None, node: int, f: Fragment) -> d
     return {"row": [row], "doc_id": [doc_id], "node": [node], "at": [f.at], "closed": [f.closed]} | {k: [v.tobytes()] for k, v in held}
 
 
-def _fragments(files: Vocabularies):
+def _fragments(files: Vocabularies, piece: int):
     """Chunk rows to their fragments and to batches of their closed groups."""
     kind = _FRAGMENT.replace("row bigint, doc_id bigint", "long_row bigint, long_id bigint")
     schema = f"{_BATCH}, {kind}"
@@ -469,11 +484,15 @@ def _fragments(files: Vocabularies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, number = Aligner.of(files), _numbers(TaskContext.get().partitionId() + (1 << 28))
         for batch in batches:
-            units = []
+            units, held = [], 0
             for r in batch.to_pylist():
                 f, inside = fragment(Tokens(*(_ints(r[c]) for c in ("a", "a_end", "b", "b_end"))), r["chunk"])
                 if len(inside.a):
                     units.append((r["row"], 2 * r["chunk"] + 1, r["doc_id"], inside))
+                    held += int(inside.a_end[-1] - inside.a_end[0])
+                if held >= piece:
+                    yield _arrow(schema, _units(tool, next(number), units))
+                    units, held = [], 0
                 columns = _fragment_columns(r["row"], r["doc_id"], r["chunk"], f)
                 columns["long_row"], columns["long_id"] = columns.pop("row"), columns.pop("doc_id")
                 yield _arrow(schema, columns)
@@ -520,9 +539,9 @@ def _border_units(files: Vocabularies):
     return run
 
 
-def _tree(chunks: DataFrame, files: Vocabularies) -> DataFrame:
+def _tree(chunks: DataFrame, files: Vocabularies, piece: int) -> DataFrame:
     """Batch rows of long documents: the closed groups of each chunk, then those that close between chunks, level by level."""
-    run, schema = _fragments(files)
+    run, schema = _fragments(files, piece)
     spread = chunks.repartition("row", "chunk")
     leaves = stage(spread.mapInArrow(run, schema), "fragments")
     names = [part.split(" ")[0] for part in _BATCH.split(", ")]
@@ -552,12 +571,13 @@ def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
     out = []
     for r in range(left.num_rows):
         value = lambda name: left.column(name)[r].values  # noqa: B023, E731
-        array = lambda name: value(name).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
-        count, best = np.zeros(len(value("keys")), np.int64), np.zeros(len(value("keys")), np.int64)
+        array = lambda name: _unpacked(left.column(name)[r].as_py())  # noqa: B023, E731
+        # Each distinct pair of the batch has asked for its totals.
+        count, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
         place = right.column("place").to_numpy()
         count[place] = right.column("count").to_numpy()
         best[place] = right.column("best").to_numpy(zero_copy_only=False)
-        links, link_at, words, word_at = array("links"), array("link_at"), array("words"), array("word_at")
+        links, words, link_at, word_at = array("links"), array("words"), _bounds(array("link_n")), _bounds(array("word_n"))
         sums = [_per_text(_per_text(x[links], link_at)[words], word_at) for x in (best, count)]
         plain = {c: value(c) for c in ("row", "pos", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "body")}
         out.append(_arrow(_UNIT, plain | {"n_best": sums[0], "count_sum": sums[1]}))
@@ -608,11 +628,11 @@ def aligned(docs: DataFrame, files: Vocabularies, id_col: str = "doc_id", text_c
     chunks = (first.where("chunk is not null")
               .select(F.col("long_row").alias("row"), F.col("long_id").alias("doc_id"), "chunk", "a", "a_end", "b", "b_end"))
     if not chunks.isEmpty():
-        batches = batches.unionByName(stage(_tree(chunks, files), "long"))
+        batches = batches.unionByName(stage(_tree(chunks, files, piece), "long"))
     totals = stage(pair_totals(batches), "totals")
     asked = (batches.select(F.col("batch").alias("asking"), F.posexplode("keys").alias("place", "pair"))
              .join(totals, "pair").select("asking", "place", "count", "best"))
-    units = batches.drop("key_n").groupBy("batch").cogroup(asked.groupBy("asking")).applyInArrow(_scored, _UNIT)
+    units = batches.drop("keys", "key_n").groupBy("batch").cogroup(asked.groupBy("asking")).applyInArrow(_scored, _UNIT)
     units = stage(units, "units")
     parts = units.where("sha is null").repartition("row").sortWithinPartitions("row", "pos").mapInArrow(_joined, _UNIT)
     rows = units.where("sha is not null").unionByName(parts)

@@ -111,3 +111,18 @@ def test_fragments_compose_in_any_order():
     first = folded(parts)
     assert all(folded(parts) == first for _ in range(20))
     assert first[0] == [[]] * 8
+
+
+def test_a_batch_of_texts_goes_out_in_small_rows(spark, files):
+    words = F.transform(F.sequence(F.lit(1), F.lit(150)), lambda i: F.hex(F.xxhash64("id", i) % 5_000))
+    texts = spark.range(0, 2_000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text"))
+    run, schema = alignment._tokenized(files, alignment.CHUNK, alignment.PIECE)
+    rows = texts.mapInArrow(run, schema).collect()
+    assert sorted(i for r in rows for i in r["doc_id"]) == list(range(2_000))
+    held = [sum(len(v) * (8 if isinstance(v, list) else 1) for v in r if isinstance(v, (list, bytes, bytearray))) for r in rows]
+    assert max(held) < 1 << 20
+
+
+@pytest.mark.parametrize("values", [[], [0], [3, 255], [256, 0], [65_535], [65_536, 1], [1 << 32]])
+def test_packed_numbers_come_back(values):
+    assert alignment._unpacked(alignment._packed(np.array(values, np.int64))).tolist() == values
