@@ -10,6 +10,9 @@ Work is on distinct fingerprints, so exact copies and equal fingerprints never f
 entries with more than ``light`` members are not joined: their members are dealt over tiles of at
 most ``tile`` members, each tile pair checks all its distances and returns only a spanning
 forest of the links, so the rows stay linear in the tile and nothing is capped.
+
+Joins are sort merge joins by hint. Spark counts the rows behind an explode as those before it, so
+left to itself it takes the probes, 66 rows of each fingerprint, for a table small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -116,15 +119,15 @@ def links(prints: DataFrame, radius: int = 3, segments: int = 2, light: int = 16
     probes = prints.select("fp", F.explode(F.concat(*[
         _around(k, value[k], ball(bits, reach)) for k, (_, bits, reach) in enumerate(parts)])).alias("e")).select("fp", "e.*")
     sizes = crowded.select("part", "key", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
-    members = table.join(sizes, ["part", "key"], "left")
-    found = (probes.alias("p").join(members.where("tiles is null").alias("t"), ["part", "key"])
+    members = table.join(sizes.hint("merge"), ["part", "key"], "left")
+    found = (probes.alias("p").join(members.where("tiles is null").alias("t").hint("merge"), ["part", "key"])
              .where((F.col("p.fp") != F.col("t.fp"))
                     & (F.bit_count(F.col("p.fp").bitwiseXOR(F.col("t.fp"))) <= radius))
              .select(F.least("p.fp", "t.fp").alias("a"), F.greatest("p.fp", "t.fp").alias("b")))
     # Crowded entries: both sides dealt over tiles by hash; each pair of tiles is a task's group.
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    left = (probes.join(sizes, ["part", "key"]).withColumn("i", own).withColumn("j", every)
+    left = (probes.join(sizes.hint("merge"), ["part", "key"]).withColumn("i", own).withColumn("j", every)
             .select("part", "key", "i", "j", "fp", F.lit(True).alias("probe")))
     right = (members.where("tiles is not null").withColumn("j", own).withColumn("i", every)
              .select("part", "key", "i", "j", "fp", F.lit(False).alias("probe")))
@@ -177,22 +180,22 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 200) -> DataFra
     """
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     linked = both.select(F.col("a").alias("fp")).distinct()
-    state = stage(nodes.join(linked, "fp").select("fp", "label", F.col("label").alias("was")), "labels")
+    state = stage(nodes.join(linked.hint("merge"), "fp").select("fp", "label", F.col("label").alias("was")), "labels")
     owner = stage(state.select(F.col("label").alias("own"), "fp"), "owners")
     for _ in range(rounds):
-        near = (both.join(state.select(F.col("fp").alias("b"), "label"), "b")
+        near = (both.join(state.select(F.col("fp").alias("b"), "label").hint("merge"), "b")
                 .groupBy(F.col("a").alias("fp")).agg(F.min("label").alias("near")))
-        lower = state.join(near, "fp").select("fp", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        lower = state.join(near.hint("merge"), "fp").select("fp", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         lower = stage(lower, "lower")
         # The label names a node by its own label; take that node's label over.
-        jump = (owner.join(lower, "fp").select("own", F.col("label").alias("jump")))
+        jump = owner.join(lower.hint("merge"), "fp").select("own", F.col("label").alias("jump")).hint("merge")
         state = stage(lower.join(jump, lower["label"] == jump["own"], "left")
                       .select("fp", F.least("label", F.coalesce("jump", "label")).alias("label"), "was"), "labels")
         if state.where("label < was").isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")
-    alone = nodes.join(linked, "fp", "left_anti").select("fp", "label")
+    alone = nodes.join(linked.hint("merge"), "fp", "left_anti").select("fp", "label")
     return alone.unionByName(state.select("fp", "label"))
 
 
@@ -220,13 +223,13 @@ def _with_nameless(marked: DataFrame, nodes: DataFrame, radius: int, segments: i
     """As the main path, with fingerprints themselves as labels, named by their smallest id afterwards."""
     found = links(nodes.select("fp"), radius, segments)
     parts = components(nodes.select("fp", F.col("fp").alias("label")), found)
-    named = parts.join(nodes.select("fp", F.col("label").alias("id")), "fp")
+    named = parts.join(nodes.select("fp", F.col("label").alias("id")).hint("merge"), "fp")
     smallest = named.groupBy("label").agg(F.min("id").alias("smallest"))
-    return _result(marked, named.join(smallest, "label").select("fp", F.col("smallest").alias("label")))
+    return _result(marked, named.join(smallest.hint("merge"), "label").select("fp", F.col("smallest").alias("label")))
 
 
 def _result(marked: DataFrame, parts: DataFrame) -> DataFrame:
-    return (marked.join(parts, "fp")
+    return (marked.join(parts.hint("merge"), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.col("label").alias("component_id")))
 
