@@ -11,7 +11,7 @@ entries with more than ``light`` members are not joined: their members are dealt
 most ``tile`` members, each tile pair checks all its distances and returns only a spanning
 forest of the links, so the rows stay linear in the tile and nothing is capped.
 
-Joins are sort merge joins by hint. Spark counts the rows behind an explode as those before it, so
+Joins of fingerprints are sort merge joins by hint. Spark counts the rows behind an explode as those before it, so
 left to itself it takes the probes, 66 rows of each fingerprint, for a table small enough to broadcast.
 """
 
@@ -246,15 +246,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                fingerprint(F.col(text_col)).alias("fp")), "prints")
     nodes = stage(marked.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("label")), "nodes")
     # Fingerprints of rows without an id still link others; they never are the smallest.
-    nameless = marked.where("doc_id is null").select("fp").distinct().join(nodes.select("fp"), "fp", "left_anti")
+    nameless = marked.where("doc_id is null").select("fp").distinct().join(nodes.select("fp").hint("merge"), "fp", "left_anti")
     if nameless.isEmpty():
         parts = components(nodes, links(nodes.select("fp")))
     else:
         every = stage(nodes.select("fp").unionByName(nameless), "every")
         parts = components(every.select("fp", F.col("fp").alias("label")), links(every))
-        named = parts.join(nodes.select("fp", F.col("label").alias("id")), "fp")
-        parts = named.join(named.groupBy("label").agg(F.min("id").alias("smallest")), "label").select("fp", F.col("smallest").alias("label"))
-    flags = (marked.where("doc_id is not null").join(parts, "fp").groupBy(F.col("doc_id").alias(key), look)
+        named = parts.join(nodes.select("fp", F.col("label").alias("id")).hint("merge"), "fp")
+        parts = named.join(named.groupBy("label").agg(F.min("id").alias("smallest")).hint("merge"), "label").select("fp", F.col("smallest").alias("label"))
+    flags = (marked.where("doc_id is not null").join(parts.hint("merge"), "fp").groupBy(F.col("doc_id").alias(key), look)
              .agg(F.max(F.col("doc_id") != F.col("label")).alias(gone), F.count("*").alias(rows))
              .where(F.col(gone) | (F.col(rows) > 1)))
     same = (docs[id_col].cast("long") == flags[key]) & (F.xxhash64(docs[text_col]) == flags[look])

@@ -8,21 +8,38 @@ pytest.importorskip("xxhash")
 from pulseboard.llm import simhash  # noqa: E402
 
 
-@pytest.mark.parametrize("without_id", [False, True])
-def test_simhash_broadcasts_no_table(spark, monkeypatch, without_id):
+def planned(df, plans):
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    return df
+
+
+def watched(spark, monkeypatch, without_id):
+    """Documents, and the plans of all tables that the operator stores."""
+    plans, keep = [], simhash.stage
+    monkeypatch.setattr(simhash, "stage", lambda df, name: keep(planned(df, plans), name))
     docs = spark.range(60).select(F.when(F.col("id") != 7, F.col("id")).otherwise(F.lit(None if without_id else 7)).alias("doc_id"),
                                   F.concat_ws(" ", *[F.col("id") % n for n in (3, 5, 7, 11)]).alias("text"))
-    plans, keep = [], simhash.stage
+    return keep(docs, "docs"), plans
 
-    def planned(df):
-        plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return df
 
-    monkeypatch.setattr(simhash, "stage", lambda df, name: keep(planned(df), name))
+@pytest.mark.parametrize("without_id", [False, True])
+def test_simhash_broadcasts_no_table(spark, monkeypatch, without_id):
+    docs, plans = watched(spark, monkeypatch, without_id)
     found = simhash.near_duplicates(docs)
-    planned(found)
+    planned(found, plans)
     assert found.count() == 60
     nodes = docs.groupBy(simhash.fingerprint("text").alias("fp")).agg(F.min("doc_id").alias("label"))
-    planned(simhash.links(keep(nodes, "nodes").select("fp")))
+    planned(simhash.links(simhash.stage(nodes, "nodes").select("fp")), plans)
     assert any("SortMergeJoin" in p for p in plans)
     assert not [p for p in plans if "Broadcast" in p]
+
+
+@pytest.mark.parametrize("without_id", [False, True])
+def test_the_near_duplicate_stage_broadcasts_its_flags_at_most(spark, monkeypatch, without_id):
+    docs, plans = watched(spark, monkeypatch, without_id)
+    kept = simhash.keep_one(docs)
+    planned(kept, last := [])
+    assert kept.count() == 60
+    assert not [p for p in plans if "Broadcast" in p]
+    # Flags, in both parts of the result; how many there are is measured when the join is planned at scale.
+    assert last[0].count("BroadcastExchange") <= 2 and "SortMergeJoin" in last[0]
